@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from runledger.llm.bpe import digests
 from runledger.llm.kd_shards import shard_by_bytes
+from runledger.llm.language import predict
 from runledger.llm.shared import documents
 from runledger.llm.topk import top_k
 
@@ -24,7 +25,11 @@ def op4_bpe(spark, sf_dir):
     return digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {"op4_bpe": op4_bpe, "op2_topk": op2_topk, "op7_shards": op7_shards}
+def op10_language(spark, sf_dir):
+    return predict(documents(spark, sf_dir))
+
+
+QUERIES = {"op10_language": op10_language, "op4_bpe": op4_bpe, "op2_topk": op2_topk, "op7_shards": op7_shards}
 SQL = {
     "op2_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
