@@ -1,7 +1,7 @@
 """Nearest-centroid language identification on hashed TF-IDF byte trigrams of letters, several centroids a language.
 
 Document frequencies cover all training texts; centroids are fitted by spherical k-means on at most `sample` training texts (those of least
-hash), all other texts are only scored. A text without a letter, or null, is `und` with score 0; `rejected` marks these and texts whose best
+hash, two bytes a dimension), all other texts are only scored. A text without a letter, or null, is `und` with score 0; `rejected` marks these and texts whose best
 cosine is below `least`. Other columns are ignored; repeated rows give repeated results; with no training text every row is `und`.
 """
 
@@ -46,7 +46,7 @@ def centroids(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
-def predict(docs: DataFrame, sample: int = 4000, k: int = 3, least: float = 0.05) -> DataFrame:
+def predict(docs: DataFrame, sample: int = 2000, k: int = 3, least: float = 0.05) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.regexp_replace(F.lower("text"), "[^\\p{L}]+", " ").alias("text"), F.col("lang").alias("lang"),
         F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias("lettered"), (crc_mod("doc_id", 3) == 1).alias("held_out"),
@@ -73,13 +73,13 @@ def predict(docs: DataFrame, sample: int = 4000, k: int = 3, least: float = 0.05
     def fitted(batches):
         for pdf in batches:
             for first, n, x in vectors(pdf["text"]):
-                yield pd.DataFrame({"lang": pdf["lang"][first : first + n].to_numpy(), "x": list(x.astype(np.float32))})
+                yield pd.DataFrame({"lang": pdf["lang"][first : first + n].to_numpy(), "x": [v.tobytes() for v in x.astype(np.float16)]})
 
     chosen = train.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample).select("doc_id").distinct()
-    got = train.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang").mapInPandas(fitted, "lang string, x array<float>").toPandas()
+    got = train.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang").mapInPandas(fitted, "lang string, x binary").toPandas()
     names, parts = [], []
     for lang, own in got.sort_values("lang").groupby("lang"):
-        c = centroids(np.stack([np.asarray(v, float) for v in own["x"]]), k)
+        c = centroids(np.frombuffer(b"".join(own["x"]), np.float16).reshape(-1, DIM).astype(float), k)
         parts.append(c)
         names += [lang] * len(c)
     c = np.concatenate(parts) if parts else np.zeros((1, DIM))
