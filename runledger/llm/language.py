@@ -46,12 +46,18 @@ def centroids(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
-def predict(docs: DataFrame, sample: int = 2000, k: int = 3, least: float = 0.05) -> DataFrame:
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.regexp_replace(F.lower("text"), "[^\\p{L}]+", " ").alias("text"), F.col("lang").alias("lang"),
-        F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias("lettered"), (crc_mod("doc_id", 3) == 1).alias("held_out"),
-    )
-    train = rows.filter(~F.col("held_out") & F.col("lettered") & F.col("lang").isNotNull())
+CLEAN, ANY = "[^\\p{L}]+", "\\p{L}"
+
+
+def letters(text):
+    """The text's letters in lower case, all else as single spaces."""
+    return F.regexp_replace(F.lower(text), CLEAN, " ")
+
+
+def fit(docs: DataFrame, sample: int = 2000, k: int = 3):
+    """(names, centroids, idf) from the training documents."""
+    train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), letters(F.col("text")).alias("text"), F.col("lang").alias("lang"))
+    train = train.filter((crc_mod("doc_id", 3) != 1) & F.col("text").rlike(ANY) & F.col("lang").isNotNull())
 
     def frequencies(batches):
         total = np.zeros(DIM + 1)
@@ -66,33 +72,56 @@ def predict(docs: DataFrame, sample: int = 2000, k: int = 3, least: float = 0.05
         df[r["bin"]] = r["n"]
     idf = np.log((1 + df[DIM]) / (1 + df[:DIM])) + 1
 
-    def vectors(texts):
-        for first, n, x in counts(texts):
-            yield first, n, unit(x * idf)
-
     def fitted(batches):
         for pdf in batches:
-            for first, n, x in vectors(pdf["text"]):
-                yield pd.DataFrame({"lang": pdf["lang"][first : first + n].to_numpy(), "x": [v.tobytes() for v in x.astype(np.float16)]})
+            for first, n, x in counts(pdf["text"]):
+                yield pd.DataFrame({"lang": pdf["lang"][first : first + n].to_numpy(), "x": [v.tobytes() for v in unit(x * idf).astype(np.float16)]})
 
     chosen = train.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample).select("doc_id").distinct()
     got = train.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang").mapInPandas(fitted, "lang string, x binary").toPandas()
     names, parts = [], []
-    for lang, own in got.sort_values("lang").groupby("lang"):
+    for lang, own in got.sort_values(["lang", "x"]).groupby("lang"):
         c = centroids(np.frombuffer(b"".join(own["x"]), np.float16).reshape(-1, DIM).astype(float), k)
         parts.append(c)
         names += [lang] * len(c)
-    c = np.concatenate(parts) if parts else np.zeros((1, DIM))
-    names = np.array(names or ["und"], object)
+    return np.array(names or ["und"], object), np.concatenate(parts) if parts else np.zeros((1, DIM)), idf
+
+
+def nearest(model, texts):
+    """(language, cosine) of each text."""
+    names, c, idf = model
+    best, score = np.empty(len(texts), object), np.zeros(len(texts))
+    for first, n, x in counts(texts):
+        cosine = unit(x * idf) @ c.T
+        best[first : first + n], score[first : first + n] = names[cosine.argmax(1)], cosine.max(1)
+    return best, np.clip(score, 0, 1)
+
+
+def predict(docs: DataFrame, sample: int = 2000, k: int = 3, least: float = 0.05) -> DataFrame:
+    model = fit(docs, sample, k)
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), letters(F.col("text")).alias("text"),
+        F.coalesce(F.col("text").rlike(ANY), F.lit(False)).alias("lettered"), F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+    )
 
     def run(batches):
         for pdf in batches:
-            best, score = np.empty(len(pdf), object), np.zeros(len(pdf))
-            for first, n, x in vectors(pdf["text"]):
-                cosine = x @ c.T
-                best[first : first + n], score[first : first + n] = names[cosine.argmax(1)], cosine.max(1)
+            best, score = nearest(model, pdf["text"])
             ok = pdf["lettered"].to_numpy(bool)
-            score = np.clip(np.where(ok, score, 0), 0, 1)
+            score = np.where(ok, score, 0)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "lang_pred": np.where(ok, best, "und"), "score": score, "rejected": ~ok | (score < least)})
 
-    return rows.select("doc_id", "held_out", "text", "lettered").mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
+    return rows.mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
+
+
+def keep_identified(docs: DataFrame, sample: int = 2000, k: int = 3, least: float = 0.05) -> DataFrame:
+    """The documents that are not rejected, all columns as they came; rows are scored in place, never joined."""
+    model = fit(docs, sample, k)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).to_pandas()
+            ok = np.array([bool(t and t.strip()) for t in texts], bool) & (nearest(model, texts)[1] >= least)
+            yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(ok))
+
+    return docs.select("*", letters(F.col("text")).alias("_letters")).mapInArrow(run, docs.schema)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from runledger.llm.bpe import digests
 from runledger.llm.kd_shards import shard_by_bytes
 from runledger.llm.language import predict
+from runledger.llm.neardup import near_duplicates
 from runledger.llm.packing import pack
 from runledger.llm.quality import classify
 from runledger.llm.shared import documents
@@ -39,7 +40,11 @@ def op6_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op3_quality": op3_quality, "op6_packing": op6_packing, "op10_language": op10_language, "op4_bpe": op4_bpe, "op2_topk": op2_topk, "op7_shards": op7_shards}
+def op1_neardup(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+
+
+QUERIES = {"op1_neardup": op1_neardup, "op3_quality": op3_quality, "op6_packing": op6_packing, "op10_language": op10_language, "op4_bpe": op4_bpe, "op2_topk": op2_topk, "op7_shards": op7_shards}
 SQL = {
     "op2_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
