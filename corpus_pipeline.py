@@ -11,26 +11,32 @@ from runledger.llm.packing import pack
 from runledger.llm.quality import keep_good
 from runledger.llm.shared import documents, materialize
 
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling keeps."""
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents near enough to a language's centroid."""
     return keep_identified(docs)
 
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five words, similarity 0.8)."""
     return drop_copies(docs)
 
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents placed in sequences of 1024 tokens."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
+
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("packing", packing)]
 #: No SQL expresses the trained stages; tests/llm compares each stage with a plain version.
 ORACLE_SQL = None
 
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
