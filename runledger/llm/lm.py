@@ -58,7 +58,7 @@ def tally(table: pa.Table, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def score(docs: DataFrame, order: int = 2, mu: float = 100.0, block_bytes: int = 32 << 20) -> DataFrame:
+def score(docs: DataFrame, order: int = 2, mu: float = 100.0, block_bytes: int = 16 << 20) -> DataFrame:
     rows = id_and_text(docs)
     held = F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False))
     blocks = blocks_for(rows, "text", block_bytes)
@@ -71,11 +71,24 @@ def score(docs: DataFrame, order: int = 2, mu: float = 100.0, block_bytes: int =
         one = np.arange(len(key)) < len(found[0][0])
         return pa.table({"block": pa.array(np.full(len(key), block, np.int32)), "key": key.view(np.int64), "one": one, "n": n})
 
+    def share(table: pa.Table) -> pa.Table:
+        """Totals of the keys that several blocks hold, for each of them; with block -1, one row with the part's training tokens and distinct ones."""
+        key, block, one, n = (table.column(c).to_numpy() for c in ("key", "block", "one", "n"))
+        by = np.argsort(key, kind="stable")
+        key, block, one, n = key[by], block[by], one[by], n[by]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        held = np.diff(np.concatenate([starts, [len(key)]]))
+        total = np.add.reduceat(n, starts)
+        words = one[starts]
+        everywhere, shared = np.repeat(total, held), np.repeat(held > 1, held)
+        summary = {"block": [-1], "key": [int(total[words].sum())], "n": [int((total[words] > 0).sum())]}
+        return pa.concat_tables([pa.table({"block": block[shared], "key": key[shared], "n": everywhere[shared]}), pa.table(summary).cast(pa.schema([("block", pa.int32()), ("key", pa.int64()), ("n", pa.int64())]))])
+
     counted = rows.groupBy("block").applyInArrow(count, "block int, key long, one boolean, n long")
-    model = counted.groupBy("key", "one").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks")).filter("one OR size(blocks) > 1")
-    model = materialize(model, "model")
-    total, distinct = model.filter("one").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    spread = model.filter("size(blocks) > 1").select(F.explode("blocks").alias("block"), "key", "n")
+    parts = F.pmod(F.shiftright("key", 20), F.lit(2 * blocks)).alias("part")
+    model = materialize(counted.select("*", parts).groupBy("part").applyInArrow(share, "block int, key long, n long"), "model")
+    total, distinct = model.filter("block = -1").agg(F.coalesce(F.sum("key"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    spread = model.filter("block >= 0")
 
     def traverse(table: pa.Table, shared: pa.Table) -> pa.Table:
         local = tally(table, order) if len(table) else []
