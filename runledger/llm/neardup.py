@@ -2,8 +2,8 @@
 
 A document's set holds its distinct `width`-word shingles (fewer words: the whole sequence as one). Registers are minima of exponentially
 spaced values, truncated to a byte; unions take the greater register. Sets equal as wholes are one node. Links come in stages: in each
-star stage a node meets one leader; then every bucket that still spans several components gives all its pairs across components whose likelihood
-allows the similarity, in blocks of bounded size. Links are confirmed on full sets, so a wrong candidate never links. A linked pair is missed
+star stage a node meets one leader; then every bucket that still spans several components is searched for links across components,
+in blocks of bounded size that return joining links alone. Links are confirmed on full sets, so a wrong candidate never links. A linked pair is missed
 by all 25 bands with chance (1 - s**5)**25 at most, 4.3e-7 at s = 0.85.
 Null or empty texts have no set and are components of their own; repeated rows and equal ids give a row each; an empty table gives no rows;
 other columns are ignored.
@@ -25,7 +25,7 @@ M = BANDS * PER_BAND
 SPACING = 1.1
 SEEDS = np.random.default_rng(977).integers(1, 1 << 63, (2, M), dtype=U64) | U64(1)
 GROUP = 200
-BLOCK = 1000
+BLOCK = 400
 
 
 def shingle_sets(column, width: int):
@@ -92,17 +92,22 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, regs binary")
 
 
+def band_keys(regs: np.ndarray) -> np.ndarray:
+    r = regs.reshape(-1, BANDS, PER_BAND)
+    key = np.tile(np.arange(1, BANDS + 1, dtype=U64), (len(r), 1))
+    for k in range(PER_BAND):
+        key = mix(key * U64(0x9E3779B97F4A7C15) + r[:, :, k].astype(U64))
+    return key.view(np.int64)
+
+
 def buckets(nodes: DataFrame) -> DataFrame:
     """node, bucket: one row a band."""
 
     def run(batches):
         for batch in batches:
-            r = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint8).reshape(-1, BANDS, PER_BAND)
-            key = np.tile(np.arange(1, BANDS + 1, dtype=U64), (len(r), 1))
-            for k in range(PER_BAND):
-                key = mix(key * U64(0x9E3779B97F4A7C15) + r[:, :, k].astype(U64))
+            key = band_keys(np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint8).reshape(-1, M))
             node = np.repeat(batch.column("node").to_numpy(), BANDS)
-            yield pa.RecordBatch.from_pydict({"node": node, "bucket": key.view(np.int64).ravel()})
+            yield pa.RecordBatch.from_pydict({"node": node, "bucket": key.ravel()})
 
     found = materialize(nodes.select("node", "regs").mapInArrow(run, "node long, bucket long"), "buckets")
     shared = found.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
@@ -134,13 +139,9 @@ def estimated(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b").distinct().join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
 
 
-def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the similarity. A leader's set goes once to each group of at most about GROUP partners."""
-    pairs = materialize(pairs, "candidates")
-    sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / GROUP).alias("chunks"))
-    placed = pairs.join(sizes, "b").withColumn("chunk", F.pmod(F.xxhash64("a"), F.col("chunks"))).drop("chunks")
-    seats = placed.select(F.col("a").alias("node"), "b", "chunk").union(placed.select(F.col("b").alias("node"), "b", "chunk").distinct())
-    ids = seats.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
+def full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """node, set: the sorted shingle hashes of each wanted node."""
+    ids = wanted.distinct().join(nodes.select("node", "doc_id"), "node")
 
     def run(batches):
         for batch in batches:
@@ -151,7 +152,16 @@ def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, per
                 yield pa.RecordBatch.from_arrays([want, sets], ["node", "set"]).filter(pa.array(own == want.to_numpy()))
 
     rows = id_and_text(docs).join(ids, "doc_id").select("node", "text").mapInArrow(run, "node long, set binary")
-    rows = materialize(rows.dropDuplicates(["node"]), "sets")
+    return materialize(rows.dropDuplicates(["node"]), "sets")
+
+
+def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs whose full sets reach the similarity. A leader's set goes once to each group of at most about GROUP partners."""
+    pairs = materialize(pairs, "candidates")
+    sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / GROUP).alias("chunks"))
+    placed = pairs.join(sizes, "b").withColumn("chunk", F.pmod(F.xxhash64("a"), F.col("chunks"))).drop("chunks")
+    seats = placed.select(F.col("a").alias("node"), "b", "chunk").union(placed.select(F.col("b").alias("node"), "b", "chunk").distinct())
+    rows = full_sets(seats.select("node"), nodes, docs, width)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         b, own = pdf["b"].iloc[0], {node: np.frombuffer(s, U64) for node, s in zip(pdf["node"], pdf["set"])}
@@ -184,24 +194,35 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def across(where: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """All likely pairs of different roots in one bucket; where: node, bucket, members, root. A task sees two blocks of about BLOCK nodes."""
-    blocks = F.ceil(F.col("members") / BLOCK)
-    own = where.join(nodes.select("node", "regs", "n_shingles"), "node").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), "blocks"))
-    seated = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    seated = seated.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("k"), "own", "node", "root", "n_shingles", "regs")
+def across(where: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different roots in one bucket; where: node, bucket, members, root. A task sees two blocks of about BLOCK nodes with their
+    full sets, checks each likely pair in the first bucket that both share, and returns only links that join what it has not joined yet."""
+    least = percent / 100
+    sets = full_sets(where.select("node"), nodes, docs, width)
+    own = where.join(nodes.select("node", "regs", "n_shingles"), "node").withColumn("blocks", F.ceil(F.col("members") / BLOCK))
+    own = own.withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    seated = own.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("k"), "own", "node", "root", "n_shingles", "regs").join(sets, "node")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        node, root, size = (pdf[c].to_numpy() for c in ("node", "root", "n_shingles"))
+        node, root, size, side = (pdf[c].to_numpy().copy() for c in ("node", "root", "n_shingles", "own"))
         regs = np.frombuffer(b"".join(pdf["regs"]), np.uint8).reshape(-1, M)
+        full = [np.frombuffer(s, U64) for s in pdf["set"]]
+        keys = band_keys(regs)
+        band = int((keys[0] == pdf["bucket"].iloc[0]).argmax())
         i, k = pdf["i"].iloc[0], pdf["k"].iloc[0]
-        side, out = pdf["own"].to_numpy(), []
+        out = []
         for x in np.flatnonzero(side == i):
             y = np.flatnonzero((side == k) & (root != root[x]) & (node < node[x] if i == k else True))
+            y = y[~(keys[y, :band] == keys[x, :band]).any(1)]
             if len(y):
                 y = y[likely(regs[x][None, :], regs[y], size[x], size[y], least)]
-                out.append(pd.DataFrame({"a": np.maximum(node[y], node[x]), "b": np.minimum(node[y], node[x])}))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}).astype("int64")
+            for z in y:
+                if root[z] != root[x]:
+                    common = len(np.intersect1d(full[x], full[z], assume_unique=True))
+                    if 100 * common >= percent * (len(full[x]) + len(full[z]) - common):
+                        out.append((node[x], node[z]))
+                        root[root == root[z]] = root[x]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return seated.groupBy("bucket", "i", "k").applyInPandas(run, "a long, b long")
 
@@ -225,10 +246,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, stars: i
             rank = F.struct(F.xxhash64("node", F.lit(step)).alias("h"), F.col("node").alias("b"), F.col("root").alias("rb"))
             leaders = where.groupBy("bucket").agg(F.min(rank).alias("lead"))
             met = where.join(leaders, "bucket").filter("root <> lead.rb").groupBy(F.col("node").alias("a")).agg(F.min("lead").alias("lead"))
-            found = estimated(met.select("a", F.col("lead.b").alias("b")), nodes, least)
+            found = confirm(estimated(met.select("a", F.col("lead.b").alias("b")), nodes, least), nodes, docs, width, percent)
         else:
-            found = across(where, nodes, least).distinct()
-        found = materialize(confirm(found, nodes, docs, width, percent), "links")
+            found = across(where, nodes, docs, width, percent)
+        found = materialize(found, "links")
         links = found if links is None else links.union(found)
         joined = components(links)
         roots = materialize(members.join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
