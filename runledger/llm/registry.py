@@ -7,6 +7,7 @@ from runledger.llm.bpe import digests
 from runledger.llm.fingerprint import compare_with_next
 from runledger.llm.kd_shards import shard_by_bytes
 from runledger.llm.language import predict
+from runledger.llm.licenses import find_licenses
 from runledger.llm.lm import score
 from runledger.llm.neardup import near_duplicates
 from runledger.llm.packing import pack
@@ -50,11 +51,15 @@ def op5_fingerprints(spark, sf_dir):
     return compare_with_next(documents(spark, sf_dir))
 
 
+def op8_licenses(spark, sf_dir):
+    return find_licenses(documents(spark, sf_dir))
+
+
 def op9_lm(spark, sf_dir):
     return score(documents(spark, sf_dir))
 
 
-QUERIES = {"op5_fingerprints": op5_fingerprints, "op9_lm": op9_lm, "op1_neardup": op1_neardup, "op3_quality": op3_quality, "op6_packing": op6_packing, "op10_language": op10_language, "op4_bpe": op4_bpe, "op2_topk": op2_topk, "op7_shards": op7_shards}
+QUERIES = {"op8_licenses": op8_licenses, "op5_fingerprints": op5_fingerprints, "op9_lm": op9_lm, "op1_neardup": op1_neardup, "op3_quality": op3_quality, "op6_packing": op6_packing, "op10_language": op10_language, "op4_bpe": op4_bpe, "op2_topk": op2_topk, "op7_shards": op7_shards}
 SQL = {
     "op2_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
