@@ -2,31 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def season(date):
-    """Season text of a date; seasons start in July."""
-    start = F.year(date) - (F.month(date) < 7).cast("int")
-    return F.format_string("%d-%02d", start, (start + 1) % 100)
-
-
-def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    return orders.select(
-        F.col("o_orderkey").alias("run_id"),
-        F.col("o_custkey").alias("athlete"),
-        F.to_date("o_orderdate").alias("date"),
-        season(F.col("o_orderdate")).alias("season"),
-        F.col("o_orderpriority").alias("series"),
-        F.when(F.col("o_orderstatus") == "P", "DNF").otherwise("OK").alias("status"),
-        F.floor(F.col("o_totalprice") / 1000).cast("long").alias("score_k"),
-    )
+from runledger.plans import checks, ladder, scoring, texts
+from runledger.sources.tables import runs, table
 
 
 RUNS = """runs AS (SELECT o_orderkey AS run_id, o_custkey AS athlete, CAST(o_orderdate AS DATE) AS date,
@@ -121,3 +101,6 @@ SQL = {
     "heading_fill_forward": "SELECT conv_id, turn, role, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text RANGE UNBOUNDED PRECEDING) AS heading FROM conversations",
     "dd_consistency": "SELECT p_brand, p_type, count(DISTINCT p_size) AS n_sizes, min(p_size) AS least, max(p_size) AS most FROM part GROUP BY 1, 2 HAVING count(DISTINCT p_size) > 1",
 }
+for module in (scoring, checks, ladder, texts):
+    QUERIES |= {f.__name__: f for f in module.LIST}
+    SQL |= module.SQL

@@ -15,7 +15,7 @@ def spark():
 @pytest.mark.parametrize("name", QUERIES)
 def test_equals_sql(spark, name):
     db = duckdb.connect()
-    for t in ("orders", "lineitem", "part", "documents", "events", "conversations"):
+    for t in ("orders", "lineitem", "part", "documents", "events", "conversations", "embeddings", "pages"):
         db.sql(f"CREATE VIEW {t} AS FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
