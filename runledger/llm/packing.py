@@ -1,14 +1,17 @@
 """Packing pieces of documents into sequences: configuration linear program over the length histogram.
 
-Multiplicative weights price the lengths, an unbounded knapsack by dynamic programming finds the best configuration, the mixture is scaled to
-cover no length too often and rounded down; best fit packs what is left, on the histogram. The driver sees one count a length (at most
-`capacity`) and returns a table of runs of equal sequences; pieces find their place by their rank among pieces of their length.
+Multiplicative weights price the lengths by the share of their demand that is covered, an unbounded knapsack by dynamic programming finds the
+best configuration through each length, and rounds go on until all are covered nearly evenly. The mixture is rounded by largest remainder; best
+fit packs what is left, into its free tokens first. Where best fit alone takes fewer sequences it is returned instead, and logged. The driver
+sees one count a length (at most `capacity`) and returns a table of runs of equal sequences; pieces find their place by their rank among pieces
+of their length.
 Null text counts as empty (one closing id); an empty table gives no rows; other columns are ignored; repeated rows are packed each.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import zlib
 
 import numpy as np
@@ -21,6 +24,7 @@ from tokenizers import Tokenizer
 
 from runledger.llm.shared import id_and_text, materialize
 
+LOG = logging.getLogger(__name__)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -73,62 +77,119 @@ def cut(docs: DataFrame, path: str, end: int = 2, capacity: int = 1024, batch_ch
     return id_and_text(docs).mapInArrow(run, PIECES)
 
 
-def best_configuration(price: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Counts a length of the dearest multiset that fits (unbounded knapsack)."""
-    value, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+def knapsack(price: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, list[int]]:
+    """By room: the value of the dearest multiset that fits (unbounded) and the index of one of its lengths, -1 where one token stays free."""
+    value, choice = np.zeros(capacity + 1), [-1] * (capacity + 1)
+    ends = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for room in range(1, capacity + 1):
-        n = np.searchsorted(lengths, room, "right")
-        if n:
+        value[room] = value[room - 1]
+        if n := ends[room]:
             got = value[room - lengths[:n]] + price[:n]
-            choice[room] = got.argmax()
-            value[room] = got[choice[room]]
-    out, room = np.zeros(len(lengths), np.int64), capacity
-    while room > 0 and choice[room] >= 0:
-        out[choice[room]] += 1
-        room -= lengths[choice[room]]
+            i = int(got.argmax())
+            if got[i] > value[room]:
+                value[room], choice[room] = got[i], i
+    return value, choice
+
+
+def filling(i: int, choice: list[int], lengths: list[int], capacity: int) -> dict[int, int]:
+    """Counts by index of the dearest configuration that holds length i."""
+    out, room = {i: 1}, capacity - lengths[i]
+    while room > 0:
+        if (j := choice[room]) < 0:
+            room -= 1
+        else:
+            out[j] = out.get(j, 0) + 1
+            room -= lengths[j]
     return out
 
 
-def mixture(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int, eps: float = 0.5) -> list[tuple[int, np.ndarray]]:
-    """(copies, configuration) after rounding the multiplicative-weights solution down."""
-    covered, found = np.zeros(len(lengths)), {}
-    for _ in range(rounds):
-        price = np.exp(-eps * (covered - covered.min())) / counts
-        config = best_configuration(price, lengths, capacity)
-        used = config > 0
-        step = (counts[used] / config[used]).min()
-        covered += config * step / counts
-        key = config.tobytes()
-        found[key] = found.get(key, 0) + step
-    scale, out = 1 / max(covered.max(), 1e-12), []
+def weights(lengths: np.ndarray, counts: np.ndarray, capacity: int, gap: float = 0.1, margin: float = 1.5, near: float = 0.1, step: float = 0.25, most: int = 4096):
+    """(sequences by configuration, coverage by length) of the program's fractional solution.
+
+    A length starts at a price in proportion to its tokens and loses a factor e each time its demand is covered; one that is `margin` coverages
+    ahead of the last is free. One knapsack a round gives the dearest configuration through every length; those within `near` of the best are
+    raised together, no length by more than `step`. Rounds end when the least coverage is margin / gap: then all lie within about 1 + gap of it.
+    """
+    covered, found, plain = np.zeros(len(lengths)), {}, lengths.tolist()
+    for _ in range(most):
+        if covered.min() >= margin / gap:
+            break
+        ahead = covered - covered.min()
+        price = np.where(ahead < margin, np.exp(-ahead), 0) * lengths
+        value, choice = knapsack(price, lengths, capacity)
+        reach, budget = price + value[capacity - lengths], np.full(len(lengths), step)
+        for i in np.argsort(-reach, kind="stable").tolist():
+            if reach[i] < (1 - near) * value[capacity]:
+                break
+            if price[i] == 0 or budget[i] <= 1e-9:
+                continue
+            config = filling(i, choice, plain, capacity)
+            at, n = list(config), np.array(list(config.values()))
+            copies = float((budget[at] * counts[at] / n).min())
+            if copies > 1e-9:
+                budget[at] -= n * copies / counts[at]
+                covered[at] += n * copies / counts[at]
+                key = tuple(sorted(config.items()))
+                found[key] = found.get(key, 0) + copies
+    else:
+        LOG.warning("packing: rounds ran out, coverage %.3f to %.3f", covered.min(), covered.max())
+    return found, covered
+
+
+def mixture(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
+    """(copies, configuration): the fractional solution, scaled to cover no length too often, rounded down and then up by largest remainder while
+    the pieces last."""
+    found, covered = weights(lengths, counts, capacity)
+    left, rounded = counts.copy(), []
     for key, x in found.items():
-        if (copies := int(x * scale)) > 0:
-            out.append((copies, np.frombuffer(key, np.int64)))
+        at, n = (np.array(v) for v in zip(*key))
+        whole = int(x / covered.max())
+        left[at] -= whole * n
+        rounded.append([x / covered.max() - whole, whole, at, n])
+    rounded.sort(key=lambda r: -r[0])
+    for r in rounded:
+        if (left[r[2]] >= r[3]).all():
+            r[1] += 1
+            left[r[2]] -= r[3]
+    out = []
+    for _, copies, at, n in rounded:
+        if copies:
+            config = np.zeros(len(lengths), np.int64)
+            config[at] = n
+            out.append((copies, config))
     return out
 
 
-def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
-    """Longest first, each into the fullest place that takes it; equal fillings are made in bulk."""
+def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int, begun=()) -> list[tuple[int, np.ndarray]]:
+    """Longest first, each into the fullest place that takes it, those begun first; equal fillings are made in bulk."""
     left, out = counts.copy(), []
-    while left.any():
-        config, room = np.zeros(len(lengths), np.int64), capacity
-        for i in np.flatnonzero(left)[::-1]:
+    begun = sorted(begun, key=lambda p: capacity - p[1] @ lengths)[::-1]
+    while begun or left.any():
+        most, start = begun.pop() if begun else (int(left.sum()), np.zeros(len(lengths), np.int64))
+        added, room = np.zeros(len(lengths), np.int64), capacity - start @ lengths
+        for i in np.flatnonzero(left[: np.searchsorted(lengths, room, "right")])[::-1]:
             n = min(room // lengths[i], left[i])
-            config[i], room = n, room - n * lengths[i]
+            added[i], room = n, room - n * lengths[i]
             if room < lengths[0]:
                 break
-        used = config > 0
-        copies = int((left[used] // config[used]).min())
-        left -= copies * config
-        out.append((copies, config))
+        used = added > 0
+        copies = min(most, int((left[used] // added[used]).min())) if used.any() else most
+        left -= copies * added
+        out.append((copies, start + added))
+        if start.any() and copies < most:
+            begun.append((most - copies, start))
     return out
 
 
-def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int = 1024, rounds: int = 400) -> list[tuple[int, np.ndarray]]:
-    first = mixture(lengths, counts, capacity, rounds)
+def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int = 1024) -> list[tuple[int, np.ndarray]]:
+    """The program's sequences and best fit for the rest, or best fit alone where that takes fewer sequences; the log says which."""
+    first = mixture(lengths, counts, capacity)
     left = counts - sum((copies * c for copies, c in first), np.zeros_like(counts))
-    both = [first + best_fit(lengths, left, capacity), best_fit(lengths, counts, capacity)]
-    return min(both, key=lambda p: sum(copies for copies, _ in p))
+    both, alone = best_fit(lengths, left, capacity, first), best_fit(lengths, counts, capacity)
+    share, total, plain = (sum(copies for copies, _ in p) for p in (first, both, alone))
+    said = "program" if total <= plain else "best fit alone"
+    LOG.log(logging.INFO if total <= plain else logging.WARNING, "packing: %d of %d sequences from the linear program, best fit alone %d; %s returned", share, total, plain, said)
+    return both if total <= plain else alone
 
 
 def places(lengths: np.ndarray, configs: list[tuple[int, np.ndarray]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
