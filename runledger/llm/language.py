@@ -2,7 +2,7 @@
 
 Document frequencies cover all training texts; centroids are fitted by spherical k-means on at most `sample` training texts (those of least
 hash, two bytes a dimension), all other texts are only scored. A text without a letter, or null, is `und` with score 0; `rejected` marks these and texts whose best
-cosine is below `least`. Other columns are ignored; repeated rows give repeated results; with no training text every row is `und`.
+cosine is below the floor of their language and length class, learned from all training texts' cosines (`least` is the lowest floor). Other columns are ignored; repeated rows give repeated results; with no training text every row is `und`.
 """
 
 from __future__ import annotations
@@ -97,8 +97,55 @@ def nearest(model, texts):
     return best, np.clip(score, 0, 1)
 
 
+#: Texts of up to so many characters are a class each, longer ones another; the floors over all languages do not fall with length.
+CLASSES = np.array([20, 50, 100, 400])
+BINS, RARE, FEW, SLACK = 1000, 0.001, 1000, 0.8
+
+
+def classes(texts) -> np.ndarray:
+    return np.searchsorted(CLASSES, [len(t.strip()) if t else 0 for t in texts])
+
+
+def floors(docs: DataFrame, model, least: float) -> tuple[dict, np.ndarray]:
+    """({(language, class): floor}, floors by class of languages with under FEW training texts in it): SLACK times the cosine that a share of
+    RARE of the class's training texts stays under; texts of under 100 characters, where a class has few, keep `least`."""
+    train = docs.filter((crc_mod("doc_id", 3) != 1) & F.col("text").rlike(ANY) & F.col("lang").isNotNull()).select(letters(F.col("text")).alias("text"))
+
+    def binned(batches):
+        for pdf in batches:
+            best, score = nearest(model, pdf["text"])
+            frame = pd.DataFrame({"lang": best, "size": classes(pdf["text"]), "bin": (score * BINS).astype(int)})
+            yield frame.groupby(["lang", "size", "bin"]).size().rename("n").reset_index()
+
+    got = train.mapInPandas(binned, "lang string, size long, bin long, n long").groupBy("lang", "size", "bin").agg(F.sum("n").alias("n")).collect()
+    count: dict = {}
+    for r in got:
+        for lang in (r["lang"], None):
+            count.setdefault((lang, r["size"]), np.zeros(BINS + 1))[r["bin"]] += r["n"]
+
+    def low(n):
+        return SLACK * np.searchsorted(np.cumsum(n), RARE * n.sum(), "right") / BINS
+
+    pooled = np.full(len(CLASSES) + 1, least)
+    for i in range(len(pooled)):
+        n = count.get((None, i))
+        if n is not None and (i > 2 or n.sum() >= FEW):
+            pooled[i] = max(least, low(n))
+        elif i > 2:
+            pooled[i] = pooled[i - 1]
+    pooled = np.minimum.accumulate(pooled[::-1])[::-1]
+    return {(lang, i): max(least, low(n)) for (lang, i), n in count.items() if lang is not None and n.sum() >= FEW}, pooled
+
+
+def below(best, score, texts, learned) -> np.ndarray:
+    own, pooled = learned
+    size = classes(texts)
+    return score < np.array([own.get((lang, i), pooled[i]) for lang, i in zip(best, size.tolist())], float)
+
+
 def predict(docs: DataFrame, sample: int = 2000, k: int = 3, least: float = 0.05) -> DataFrame:
     model = fit(docs, sample, k)
+    learned = floors(docs, model, least)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), letters(F.col("text")).alias("text"),
         F.coalesce(F.col("text").rlike(ANY), F.lit(False)).alias("lettered"), F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
@@ -109,7 +156,7 @@ def predict(docs: DataFrame, sample: int = 2000, k: int = 3, least: float = 0.05
             best, score = nearest(model, pdf["text"])
             ok = pdf["lettered"].to_numpy(bool)
             score = np.where(ok, score, 0)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "lang_pred": np.where(ok, best, "und"), "score": score, "rejected": ~ok | (score < least)})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "lang_pred": np.where(ok, best, "und"), "score": score, "rejected": ~ok | below(best, score, pdf["text"], learned)})
 
     return rows.mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
 
@@ -117,11 +164,12 @@ def predict(docs: DataFrame, sample: int = 2000, k: int = 3, least: float = 0.05
 def keep_identified(docs: DataFrame, sample: int = 2000, k: int = 3, least: float = 0.05) -> DataFrame:
     """The documents that are not rejected, all columns as they came; rows are scored in place, never joined."""
     model = fit(docs, sample, k)
+    learned = floors(docs, model, least)
 
     def run(batches):
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pandas()
-            ok = np.array([bool(t and t.strip()) for t in texts], bool) & (nearest(model, texts)[1] >= least)
+            ok = np.array([bool(t and t.strip()) for t in texts], bool) & ~below(*nearest(model, texts), texts, learned)
             yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(ok))
 
     return docs.select("*", letters(F.col("text")).alias("_letters")).mapInArrow(run, docs.schema)
