@@ -1,7 +1,7 @@
 """Nearest-centroid language identification on hashed TF-IDF byte trigrams of letters, several centroids a language.
 
-Document frequencies cover all training texts; centroids are fitted by spherical k-means on at most `sample` training texts (those of least
-hash, two bytes a dimension), all other texts are only scored. A text without a letter, or null, is `und` with score 0; `rejected` marks these and texts whose best
+Document frequencies cover all training texts; centroids are fitted by spherical k-means on at most `sample` training texts, shared
+out evenly over the languages, LEAST a language at least (different rows of least hash, two bytes a dimension); all other texts are only scored. A text without a letter, or null, is `und` with score 0; `rejected` marks these and texts whose best
 cosine is below the floor of their language and length class, learned from all training texts' cosines (`least` is the lowest floor). Other columns are ignored; repeated rows give repeated results; with no training text every row is `und`.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runledger.llm.bytescan import slices, text_column
@@ -54,9 +54,27 @@ def letters(text):
     return F.regexp_replace(F.lower(text), CLEAN, " ")
 
 
+LEAST = 40
+
+
+def chosen(train: DataFrame, sample: int) -> DataFrame:
+    """lang and text of as many rows of each language: its different rows (by doc_id and text) of least hash. A threshold by the language's
+    number of different rows bounds what is sorted to about four times that."""
+    rows = train.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    different = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    each = max(LEAST, sample // max(1, len(different)))
+    part = {lang: 4 * each / max(n, 1) for lang, n in different.items()}
+    if few := {lang: p for lang, p in part.items() if p < 1}:
+        shares = F.create_map(*(F.lit(x) for pair in few.items() for x in pair))
+        rows = rows.filter(F.pmod("h", F.lit(1 << 30)) < F.coalesce(shares[F.col("lang")], F.lit(1.0)) * (1 << 30))
+    by_hash = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h")
+    once = rows.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    return once.withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= each).select("lang", letters(F.col("text")).alias("text"))
+
+
 def fit(docs: DataFrame, sample: int = 2000, k: int = 3):
     """(names, centroids, idf) from the training documents."""
-    train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), letters(F.col("text")).alias("text"), F.col("lang").alias("lang"))
+    train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     train = train.filter((crc_mod("doc_id", 3) != 1) & F.col("text").rlike(ANY) & F.col("lang").isNotNull())
 
     def frequencies(batches):
@@ -68,7 +86,7 @@ def fit(docs: DataFrame, sample: int = 2000, k: int = 3):
         yield pd.DataFrame({"bin": range(DIM + 1), "n": total.astype(np.int64)})
 
     df = np.zeros(DIM + 1)
-    for r in train.select("text").mapInPandas(frequencies, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+    for r in train.select(letters(F.col("text")).alias("text")).mapInPandas(frequencies, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
         df[r["bin"]] = r["n"]
     idf = np.log((1 + df[DIM]) / (1 + df[:DIM])) + 1
 
@@ -77,8 +95,7 @@ def fit(docs: DataFrame, sample: int = 2000, k: int = 3):
             for first, n, x in counts(pdf["text"]):
                 yield pd.DataFrame({"lang": pdf["lang"][first : first + n].to_numpy(), "x": [v.tobytes() for v in unit(x * idf).astype(np.float16)]})
 
-    chosen = train.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample).select("doc_id").distinct()
-    got = train.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang").mapInPandas(fitted, "lang string, x binary").toPandas()
+    got = chosen(train, sample).select("text", "lang").mapInPandas(fitted, "lang string, x binary").toPandas()
     names, parts = [], []
     for lang, own in got.sort_values(["lang", "x"]).groupby("lang"):
         c = centroids(np.frombuffer(b"".join(own["x"]), np.float16).reshape(-1, DIM).astype(float), k)
