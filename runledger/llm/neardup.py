@@ -261,6 +261,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, stars: i
 
 
 def drop_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those that another of their component stands for; all columns as they came."""
-    gone = near_duplicates(docs, width, percent).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    """One row of each component, that of least doc_id (null last; of equal ids any one); all columns as they came. Rows are numbered once in a
+    written table and decided by number, so repeated rows and rows that share an id are told apart."""
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = materialize(near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("_row"), "component_id"), "components")
+    named = found.join(rows.select("_row", F.col("doc_id").cast("long").alias("doc_id")), "_row")
+    lead = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("lead")).select(F.col("lead._row").alias("_row"))
+    return rows.join(found.select("_row").join(lead, "_row", "left_anti"), "_row", "left_anti").select(*docs.columns)
