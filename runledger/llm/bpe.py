@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -133,7 +134,7 @@ class Codec:
         piece = np.repeat(np.arange(len(starts)), ends - starts)
         rank = np.append(self.rank_of(token[:n], token[after[:n]]), NONE)
         rank[:n][after[:n] == n] = NONE
-        leaves, top, later = [0] * ((self.words >> 8) + 1), 0, [[] for _ in range(self.words)]
+        leaves, top, later = [0] * ((self.words >> 8) + 1), 0, defaultdict(list)
         live = np.flatnonzero(rank < NONE)
         live = live[np.argsort(rank[live], kind="stable")]
         values, at = np.unique(rank[live], return_index=True)
@@ -149,8 +150,7 @@ class Codec:
             if not leaves[high]:
                 top ^= 1 << high
             pos = begun.pop(r, None)
-            if more := later[r]:
-                later[r] = []
+            if more := later.pop(r, None):
                 pos = np.sort(np.array(more) if pos is None else np.concatenate([pos, np.array(more)]))
                 pos = pos[np.append(True, pos[1:] != pos[:-1])]
             pos = pos[rank[pos] == r]
@@ -164,8 +164,8 @@ class Codec:
                     pos = pos[(index - np.maximum.accumulate(np.where(head, index, 0))) % 2 == 0]
                 if r in self.one_by_one:
                     first = np.append(True, np.diff(piece[pos]) > 0)
-                    later[r], pos = pos[~first].tolist(), pos[first]
-                    if later[r]:
+                    if not first.all():
+                        later[r], pos = pos[~first].tolist(), pos[first]
                         leaves[high] |= 1 << (r & 255)
                         top |= 1 << high
             gone = after[pos]
