@@ -1,127 +1,226 @@
 """Log-probabilities by a weighted backoff automaton over word n-grams.
 
-A state is a context seen in training; its arc for token w weighs (c(hw) + mu * p(w | shorter h)) / (c(h) + mu), its failure arc mu / (c(h) + mu)
-leads to the shorter context; the root gives the add-half base probability. Documents lie in blocks of about `block_bytes`; each block
-gets the counts of exactly those n-grams it holds, so no task and no broadcast sees the whole model, and the model grows with the corpus. N-grams of one
-block alone are counted there. Keys are 64-bit hashes.
-Null text counts as empty (one end token); an empty table gives no rows; other columns are ignored; repeated rows are scored and counted each.
+A state is a context (up to order - 1 tokens, or the start of a text) seen in training; its arc for token w weighs
+(c(hw) + mu * p(w | shorter h)) / (c(h) + mu), its failure arc mu / (c(h) + mu) leads to the shorter context; the root's arcs carry the add-half
+base probability. A state is fixed by the last order - 1 tokens, so a traversal that starts that many tokens back is in the same state: all
+positions of a block are traversed at once, from their highest state down the failure arcs to the first arc that fits.
+
+Documents lie in blocks of about `block_bytes`, taken in input order. Each block sends its n-grams once, sorted and delta-coded, to the part
+that owns their range of hashes; the part answers with what other blocks add to each count, in the block's own order. So no task and no
+broadcast sees the whole model, and the model grows with the corpus. Keys are 63-bit hashes. A block whose rows differ between its two readings
+is an error, not a wrong score.
+
+Null text counts as empty (one end token); an empty table gives no rows; a null id is a training text; very long texts are blocks of their own;
+other columns, whatever their names, are ignored; repeated rows are scored and counted each.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm.bytescan import U64, mix, slices, text_column, word_hashes
-from runledger.llm.shared import blocks_for, crc_mod, id_and_text, materialize
+from runledger.llm.shared import crc_mod, id_and_text, materialize
 
-END = U64(0xA24BAED4963EE407)
+START, END = U64(0x6C62272E07BB0142), U64(0xA24BAED4963EE407)
+START_KEY = mix(np.array([START ^ U64(1)])) >> U64(1)
+ROW = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+#: Rows of an answer that carry a part's training tokens (in `n`) and distinct ones (in `own`) have this block.
+SUMMARY = -1
 
 
 def tokens(column):
-    """(first row, rows, token hashes with an end after each text, token borders) by slices."""
+    """(first row, rows, token hashes with a start before and an end after each text, token borders) by slices."""
     for first, end, data, offsets in slices(column):
         h, row = word_hashes(data, offsets)
         n = end - first
-        borders = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n) + 1)]).astype(np.int64)
+        borders = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n) + 2)]).astype(np.int64)
         out = np.full(borders[-1], END, U64)
-        out[np.arange(len(h)) + row] = h
+        out[borders[:-1]] = START
+        out[np.arange(len(h)) + 2 * row + 1] = h
         yield first, n, out, borders
 
 
 def keys(t: np.ndarray, borders: np.ndarray, order: int) -> list[np.ndarray]:
     """By length, the key of the n-gram that ends at each token; 0 where the text is too short."""
     at = np.arange(len(t)) - np.repeat(borders[:-1], np.diff(borders))
-    out = [mix(t ^ U64(1)) | U64(1)]
+    whole = [mix(t ^ U64(1))]
     for k in range(1, order):
         key = np.zeros(len(t), U64)
-        key[1:] = mix(out[-1][:-1] * U64(0x9E3779B97F4A7C15) + t[1:]) | U64(1)
+        key[1:] = mix(whole[-1][:-1] * U64(0x9E3779B97F4A7C15) + t[1:])
         key[at < k] = 0
-        out.append(key)
-    return out
+        whole.append(key)
+    return [np.where(at >= k, np.maximum(key >> U64(1), U64(1)), U64(0)) for k, key in enumerate(whole)]
 
 
-def tally(table: pa.Table, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """By length: distinct keys of a block and their training counts."""
+def hashed(table: pa.Table, order: int):
+    """Rows of a block as one run: (keys by length, training flag of each token, borders of the rows)."""
     train = np.asarray(table.column("train").to_pylist(), bool)
-    parts = [[] for _ in range(order)]
-    for first, n, t, borders in tokens(text_column(table)):
-        weight = np.repeat(train[first : first + n], np.diff(borders)).astype(np.int64)
-        for k, key in enumerate(keys(t, borders, order)):
-            parts[k].append((key[key > 0], weight[key > 0]))
-    out = []
-    for own in parts:
-        key, back = np.unique(np.concatenate([a for a, _ in own]), return_inverse=True)
-        out.append((key, np.bincount(back, np.concatenate([b for _, b in own]), len(key)).astype(np.int64)))
-    return out
-
-
-def score(docs: DataFrame, order: int = 2, mu: float = 100.0, block_bytes: int = 16 << 20) -> DataFrame:
-    rows = id_and_text(docs)
+    parts, flags, borders = [[] for _ in range(order)], [], [np.zeros(1, np.int64)]
+    for first, n, t, own in tokens(text_column(table)):
+        for k, key in enumerate(keys(t, own, order)):
+            parts[k].append(key)
+        flags.append(np.repeat(train[first : first + n], np.diff(own)))
+        borders.append(own[1:] + borders[-1][-1])
+    return [np.concatenate(p) for p in parts], np.concatenate(flags), np.concatenate(borders)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers by byte planes, compressed: planes of zeros cost next to nothing."""
+    return zstandard.compress(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def blocks_of(batches, block_bytes: int):
+    """(block number, its rows) of a task's rows in input order."""
+    base, index, held, size = TaskContext.get().partitionId() << 24, 0, [], 0
+    for batch in batches:
+        text = text_column(batch)
+        lengths = np.diff(np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]) if len(text) else np.zeros(0, np.int64)
+        begin, room = 0, np.cumsum(lengths)
+        while begin < len(text):
+            taken = room[begin - 1] if begin else 0
+            stop = min(len(text), max(begin + 1, int(np.searchsorted(room, taken + block_bytes - size, "right"))))
+            held.append(batch.slice(begin, stop - begin))
+            size += int(room[stop - 1] - taken)
+            begin = stop
+            if size >= block_bytes or begin < len(text):
+                yield base + index, pa.Table.from_batches(held)
+                index, held, size = index + 1, [], 0
+    if held:
+        yield base + index, pa.Table.from_batches(held)
+
+
+class Automaton:
+    """States, arcs and failure arcs of the n-grams that a block holds."""
+
+    def __init__(self, key: list[np.ndarray], counts, total: int, distinct: int, mu: float):
+        """key: by length and position; counts(k, distinct keys, training counts within the block): their counts everywhere."""
+        self.order, self.state, self.count, self.arc, self.fail = len(key), [], [], [], []
+        for k, own in enumerate(key):
+            different, at, back = np.unique(own, return_index=True, return_inverse=True)
+            none = int(len(different) and different[0] == 0)
+            c = np.concatenate([np.zeros(none, np.int64), counts(k, different[none:], back, none)])
+            if k == 0:
+                p = (c + 0.5) / (total + 0.5 * (distinct + 1))
+            else:
+                context, suffix = self.state[k - 1][at - 1], self.state[k - 1][at]
+                p = (c + mu * self.chance[suffix]) / (self.count[k - 1][context] + mu)
+            self.chance = p
+            self.state.append(back.astype(np.int32))
+            self.count.append(c)
+            self.arc.append(np.log10(p))
+            self.fail.append(np.log10(mu / (c + mu)))
+
+    def traverse(self, key: list[np.ndarray]) -> np.ndarray:
+        """The log-probability that each position adds, carried from its highest state down to the first arc that fits."""
+        n = len(key[0])
+        out, open_ = np.zeros(n), np.arange(n)
+        for k in range(self.order - 1, 0, -1):
+            here = open_[key[k][open_] > 0]
+            state, arc = self.state[k - 1][here - 1], self.state[k][here]
+            fits, known = self.count[k][arc] > 0, self.count[k - 1][state] > 0
+            out[here[fits]] += self.arc[k][arc[fits]]
+            fell = known & ~fits
+            out[here[fell]] += self.fail[k - 1][state[fell]]
+            still = np.ones(n, bool)
+            still[here[fits]] = False
+            open_ = open_[still[open_]]
+        out[open_] += self.arc[0][self.state[0][open_]]
+        return out
+
+
+def score(docs: DataFrame, order: int = 3, mu: float = 100.0, block_bytes: int = 16 << 20) -> DataFrame:
     held = F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False))
-    blocks = blocks_for(rows, "text", block_bytes)
-    rows = rows.select("doc_id", "text", (~held).alias("train"), F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int").alias("block"))
-
-    def count(table: pa.Table) -> pa.Table:
-        found = tally(table, order)
-        block = table.column("block")[0].as_py()
-        key, n = (np.concatenate(x) for x in zip(*found))
-        one = np.arange(len(key)) < len(found[0][0])
-        return pa.table({"block": pa.array(np.full(len(key), block, np.int32)), "key": key.view(np.int64), "one": one, "n": n})
-
-    def share(table: pa.Table) -> pa.Table:
-        """Totals of the keys that several blocks hold, for each of them; with block -1, one row with the part's training tokens and distinct ones."""
-        key, block, one, n = (table.column(c).to_numpy() for c in ("key", "block", "one", "n"))
-        by = np.argsort(key, kind="stable")
-        key, block, one, n = key[by], block[by], one[by], n[by]
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        held = np.diff(np.concatenate([starts, [len(key)]]))
-        total = np.add.reduceat(n, starts)
-        words = one[starts]
-        everywhere, shared = np.repeat(total, held), np.repeat(held > 1, held)
-        summary = {"block": [-1], "key": [int(total[words].sum())], "n": [int((total[words] > 0).sum())]}
-        return pa.concat_tables([pa.table({"block": block[shared], "key": key[shared], "n": everywhere[shared]}), pa.table(summary).cast(pa.schema([("block", pa.int32()), ("key", pa.int64()), ("n", pa.int64())]))])
-
-    counted = rows.groupBy("block").applyInArrow(count, "block int, key long, one boolean, n long")
-    parts = F.pmod(F.shiftright("key", 20), F.lit(2 * blocks)).alias("part")
-    model = materialize(counted.select("*", parts).groupBy("part").applyInArrow(share, "block int, key long, n long"), "model")
-    total, distinct = model.filter("block = -1").agg(F.coalesce(F.sum("key"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    spread = model.filter("block >= 0")
-
-    def traverse(table: pa.Table, shared: pa.Table) -> pa.Table:
-        local = tally(table, order) if len(table) else []
-        key, n = shared.column("key").to_numpy().view(np.uint64), shared.column("n").to_numpy()
-        by = np.argsort(key)
-        key, n = key[by], n[by]
-        for own, c in local:
-            at = np.searchsorted(key, own)
-            at[at == len(key)] = 0
-            if len(key):
-                everywhere = key[at] == own
-                c[everywhere] = n[at[everywhere]]
-        out = []
-        for first, rows_, t, borders in tokens(text_column(table)):
-            def at_key(k, wanted):
-                own, c = local[k]
-                place = np.minimum(np.searchsorted(own, wanted), max(len(own) - 1, 0))
-                return np.where(own[place] == wanted, c[place], 0) if len(own) else np.zeros(len(wanted), np.int64)
-
-            c = [at_key(k, key_) for k, key_ in enumerate(keys(t, borders, order))]
-            log = np.log10((c[0] + 0.5) / (total + 0.5 * (distinct + 1)))
-            base = np.add.reduceat(log, borders[:-1])
-            for k in range(1, order):
-                state = np.concatenate([[0], c[k - 1][:-1]])
-                state[borders[:-1]] = 0
-                failure = np.log10(mu / (state + mu))
-                log = np.where(c[k] > 0, np.log10((c[k] + mu * 10.0**log) / (state + mu)), failure + log)
-            out.append(pa.table({
-                "doc_id": table.column("doc_id").slice(first, rows_), "held_out": [not x for x in table.column("train").slice(first, rows_).to_pylist()],
-                "n_tokens": np.diff(borders), "n_known": np.add.reduceat((c[0] > 0).astype(np.int64), borders[:-1]),
-                "train_tokens": np.full(rows_, total, np.int64), "base_score": base, "score": np.add.reduceat(log, borders[:-1]),
-            }))
-        return pa.concat_tables(out)
-
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.groupBy("block").cogroup(spread.groupBy("block")).applyInArrow(traverse, schema)
+    rows = id_and_text(docs).select("doc_id", "text", (~held).alias("train"))
+    total_bytes = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    parts = 2 * max(1, -(-int(total_bytes) // block_bytes))
+
+    def send(batches):
+        """A block's distinct n-grams with their training counts, cut into the ranges of the parts."""
+        for block, table in blocks_of(batches, block_bytes):
+            key, train, _ = hashed(table, order)
+            for k, own in enumerate(key):
+                own = np.sort((own << U64(1) | train.astype(U64))[own > 0])
+                if not len(own):
+                    continue
+                at = np.flatnonzero(np.append(True, own[1:] >> U64(1) != own[:-1] >> U64(1)))
+                count, own = np.add.reduceat((own & U64(1)).astype(np.int64), at), own[at] >> U64(1)
+                cuts = np.searchsorted(own, [(p << 63) // parts for p in range(1, parts)])
+                for part, (x, c) in enumerate(zip(np.split(own, cuts), np.split(count, cuts))):
+                    if len(x):
+                        yield pa.RecordBatch.from_pydict({"part": [part], "block": [block], "k": [k], "own": [packed(np.diff(x, prepend=U64(0)))], "counts": [packed(c)]})
+
+    def answer(table: pa.Table) -> pa.Table:
+        """For each block, what others add to its counts."""
+        block, k = table.column("block").to_pylist(), table.column("k").to_pylist()
+        own = [np.cumsum(unpacked(x), dtype=U64) for x in table.column("own").to_pylist()]
+        counts = [unpacked(x).astype(np.int64) for x in table.column("counts").to_pylist()]
+        out = {"part": [], "block": [], "k": [], "n": [], "own": [], "added": []}
+        for kind in sorted(set(k)):
+            rows_ = [i for i, x in enumerate(k) if x == kind]
+            key, count = (np.concatenate([v[i] for i in rows_]) for v in (own, counts))
+            different, back = np.unique(key, return_inverse=True)
+            total = np.bincount(back, count, len(different)).astype(np.int64)
+            added, end = total[back] - count, 0
+            if kind == 0:
+                word = different != START_KEY[0]
+                out = {c: v + [x] for (c, v), x in zip(out.items(), (-1, SUMMARY, 0, int(total[word].sum()), int((total[word] > 0).sum()), b""))}
+            for i in rows_:
+                begin, end = end, end + len(own[i])
+                mark = int(np.bitwise_xor.reduce(own[i]).view(np.int64))
+                row = (table.column("part")[0].as_py(), block[i], kind, len(own[i]), mark, packed(added[begin:end]))
+                out = {c: v + [x] for (c, v), x in zip(out.items(), row)}
+        return pa.table(out)
+
+    sent = rows.mapInArrow(send, "part long, block long, k long, own binary, counts binary")
+    model = materialize(sent.groupBy("part").applyInArrow(answer, "part long, block long, k long, n long, own long, added binary"), "model")
+    total, distinct = model.filter(F.col("block") == SUMMARY).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("own"), F.lit(0))).first()
+
+    def gather(batches):
+        """The rows of a block as one compressed table, so that texts move once and small."""
+        for block, table in blocks_of(batches, block_bytes):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
+                writer.write_table(table)
+            yield pa.RecordBatch.from_pydict({"block": [block], "rows": [sink.getvalue().to_pybytes()]})
+
+    def traverse(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        (data,) = texts.column("rows").to_pylist()
+        table = pa.ipc.open_stream(data).read_all()
+        key, train, borders = hashed(table, order)
+        answers = answers.sort_by([("k", "ascending"), ("part", "ascending")])
+
+        def counts(k, different, back, none):
+            mine = answers.filter(pc.equal(answers.column("k"), k))
+            added = [unpacked(x).astype(np.int64) for x in mine.column("added").to_pylist()]
+            ends = np.cumsum([0, *map(len, added)])
+            marks = [int(np.bitwise_xor.reduce(different[a:b]).view(np.int64)) for a, b in zip(ends[:-1], ends[1:])]
+            if ends[-1] != len(different) or marks != mine.column("own").to_pylist():
+                raise RuntimeError("a block's rows differ between its two readings")
+            own = np.bincount(back, train, none + len(different)).astype(np.int64)[none:]
+            return own + np.concatenate(added) if added else own
+
+        model_ = Automaton(key, counts, total, distinct, mu)
+        word = np.ones(borders[-1], bool)
+        word[borders[:-1]] = False
+        base, full = np.where(word, model_.arc[0][model_.state[0]], 0), np.where(word, model_.traverse(key), 0)
+        known = word & (model_.count[0][model_.state[0]] > 0)
+        at = borders[:-1]
+        return pa.table({
+            "doc_id": table.column("doc_id"), "held_out": pc.invert(table.column("train")), "n_tokens": np.diff(borders) - 1, "n_known": np.add.reduceat(known.astype(np.int64), at),
+            "train_tokens": np.full(len(at), total, np.int64), "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(full, at),
+        })
+
+    texts = rows.mapInArrow(gather, "block long, rows binary")
+    answers = model.filter(F.col("block") != SUMMARY).select("block", "part", "k", "own", "added")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(traverse, ROW)

@@ -56,21 +56,35 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {d: (r["n_shingles"], r["component_id"], r["kept"]) for d, r in got.items()} == {d: (len(sets[d]), root[d], root[d] == d) for d in sets}
 
 
-def test_language_model_equals_plain_sums(spark):
-    data = rows()
-    t = {d: [*words_of(text), None] for d, text, *_ in data}
-    train = [v for d, v in t.items() if zlib.crc32(str(d).encode()) % 5 != 1]
-    one, two = Counter(w for v in train for w in v), Counter(p for v in train for p in itertools.pairwise(v))
-    total, mu = sum(one.values()), 7.0
-    got = lm.score(spark.createDataFrame(data, COLUMNS), mu=mu, block_bytes=4000).collect()
-    assert sorted(r["doc_id"] for r in got) == sorted(t)
-    for r in got:
-        v = t[r["doc_id"]]
-        p = [(one[w] + 0.5) / (total + 0.5 * (len(one) + 1)) for w in v]
-        backed = [p[0]] + [(two[a, b] + mu * q) / (one[a] + mu) for (a, b), q in zip(itertools.pairwise(v), p[1:])]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(v), sum(w in one for w in v), total)
-        assert math.isclose(r["base_score"], sum(map(math.log10, p)), rel_tol=1e-9)
-        assert math.isclose(r["score"], sum(map(math.log10, backed)), rel_tol=1e-9)
+@pytest.mark.parametrize(("order", "block_bytes"), [(2, 4000), (3, 4000), (4, 1 << 24)])
+def test_language_model_equals_plain_sums(spark, order, block_bytes):
+    data = [*rows(), (1000, "one two words", None, 1, 0.5, 7), (1000, "one two words", None, 1, 0.5, 7), (None, "null id", None, 1, 0.5, 8)]
+    held = {d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1 for d, *_ in data}
+    grams, mu = Counter(), 7.0
+    for d, text, *_ in data:
+        v = ("<", *words_of(text), ">")
+        if not held[d]:
+            grams.update(v[i : i + k] for k in range(1, order + 1) for i in range(len(v) - k + 1))
+    start = grams.pop(("<",))
+    total, distinct = (f(c for g, c in grams.items() if len(g) == 1) for f in (sum, lambda c: len(list(c))))
+    grams["<",] = start
+
+    def chance(h, w):
+        if not h:
+            return (grams[w,] + 0.5) / (total + 0.5 * (distinct + 1))
+        return (grams[*h, w] + mu * chance(h[1:], w)) / (grams[h] + mu)
+
+    want = []
+    for d, text, *_ in data:
+        v = ("<", *words_of(text), ">")
+        base = sum(math.log10(chance((), w)) for w in v[1:])
+        full = sum(math.log10(chance(v[max(0, i - order + 1) : i], v[i])) for i in range(1, len(v)))
+        want.append((d, held[d], len(v) - 1, sum((w,) in grams for w in v[1:]), total, base, full))
+    got = lm.score(spark.createDataFrame(data, COLUMNS).repartition(3), order=order, mu=mu, block_bytes=block_bytes).collect()
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], *r[1:]) for r in got)
+    assert len(got) == len(want)
+    for g, w in zip(got, sorted((-1 if d is None else d, *r) for d, *r in want)):
+        assert g[:5] == w[:5] and math.isclose(g[5], w[5], rel_tol=1e-9) and math.isclose(g[6], w[6], rel_tol=1e-9)
 
 
 def test_fingerprints(spark):
