@@ -139,7 +139,7 @@ class Automaton:
         return out
 
 
-def score(docs: DataFrame, order: int = 3, mu: float = 100.0, block_bytes: int = 16 << 20) -> DataFrame:
+def score(docs: DataFrame, order: int = 3, mu: float = 100.0, block_bytes: int = 8 << 20) -> DataFrame:
     held = F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False))
     rows = id_and_text(docs).select("doc_id", "text", (~held).alias("train"))
     total_bytes = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]

@@ -22,10 +22,12 @@ from runledger.llm.shared import id_and_text, materialize
 
 BANDS, PER_BAND = 25, 5
 M = BANDS * PER_BAND
-SPACING = 1.1
+SPACING, SCALE = 1.1, 20.0
 SEEDS = np.random.default_rng(977).integers(1, 1 << 63, (2, M), dtype=U64) | U64(1)
 GROUP = 200
 BLOCK = 400
+#: About so many rows with their sets are searched by one call, and so many pairs of them at once.
+TOGETHER, PAIRS = 1000, 1 << 14
 
 
 def shingle_sets(column, width: int):
@@ -57,7 +59,7 @@ def registers(s: np.ndarray, borders: np.ndarray) -> np.ndarray:
     for i in range(M):
         least = np.minimum.reduceat(mix_light(s, i), at) if len(at) else np.zeros(0, U64)
         x = -np.log1p(-(least.astype(float) + 1) / 2.0**64 * (1 - 1e-16))
-        out[:, i] = np.clip(np.floor(1 - np.log(np.maximum(x, 1e-300)) / np.log(SPACING)), 0, 255)
+        out[:, i] = np.clip(np.floor(1 - np.log(np.maximum(x / SCALE, 1e-300)) / np.log(SPACING)), 0, 255)
     return out
 
 
@@ -194,37 +196,71 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def pairs_within(bucket: np.ndarray):
+    """Chunks of index pairs of one bucket; rows are sorted by bucket."""
+    held_a, held_b, size = [], [], 0
+    at = np.arange(len(bucket))
+    for step in range(1, len(bucket)):
+        at = at[at + step < len(bucket)]
+        at = at[bucket[at] == bucket[at + step]]
+        if not len(at):
+            break
+        held_a.append(at)
+        held_b.append(at + step)
+        size += len(at)
+        if size >= PAIRS:
+            yield np.concatenate(held_a), np.concatenate(held_b)
+            held_a, held_b, size = [], [], 0
+    if held_a:
+        yield np.concatenate(held_a), np.concatenate(held_b)
+
+
+def pairs_between(left: np.ndarray, right: np.ndarray):
+    """Chunks of index pairs with one row of each side."""
+    step = max(1, PAIRS // max(1, len(right)))
+    for i in range(0, len(left), step):
+        own = left[i : i + step]
+        yield np.repeat(own, len(right)), np.tile(right, len(own))
+
+
 def across(where: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between different roots in one bucket; where: node, bucket, members, root. A task sees two blocks of about BLOCK nodes with their
-    full sets, checks each likely pair in the first bucket that both share, and returns only links that join what it has not joined yet."""
+    """Links between different roots in one bucket; where: node, bucket, members, root. Buckets of up to BLOCK nodes are searched many to a
+    call; of a larger one a call sees two blocks of about BLOCK nodes. Nodes bring their full sets; each likely pair is checked in the first
+    bucket that both share, and only links that join what the call has not joined yet are returned."""
     least = percent / 100
     sets = full_sets(where.select("node"), nodes, docs, width)
     own = where.join(nodes.select("node", "regs", "n_shingles"), "node").withColumn("blocks", F.ceil(F.col("members") / BLOCK))
     own = own.withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    seated = own.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("k"), "own", "node", "root", "n_shingles", "regs").join(sets, "node")
+    calls = F.lit(max(1, where.count() // TOGETHER))
+    call = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("bucket", F.lit(9)), calls)).otherwise(F.col("bucket"))
+    seated = own.select(call.alias("call"), "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("k"), "own", "node", "root", "n_shingles", "regs").join(sets, "node")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        node, root, size, side = (pdf[c].to_numpy().copy() for c in ("node", "root", "n_shingles", "own"))
+        pdf = pdf.sort_values(["bucket", "node"], kind="stable")
+        bucket, node, root, size, side = (pdf[c].to_numpy().copy() for c in ("bucket", "node", "root", "n_shingles", "own"))
         regs = np.frombuffer(b"".join(pdf["regs"]), np.uint8).reshape(-1, M)
         full = [np.frombuffer(s, U64) for s in pdf["set"]]
         keys = band_keys(regs)
-        band = int((keys[0] == pdf["bucket"].iloc[0]).argmax())
+        earlier = np.arange(BANDS)[None, :] < (keys == bucket[:, None]).argmax(1)[:, None]
         i, k = pdf["i"].iloc[0], pdf["k"].iloc[0]
         out = []
-        for x in np.flatnonzero(side == i):
-            y = np.flatnonzero((side == k) & (root != root[x]) & (node < node[x] if i == k else True))
-            y = y[~(keys[y, :band] == keys[x, :band]).any(1)]
-            if len(y):
-                y = y[likely(regs[x][None, :], regs[y], size[x], size[y], least)]
-            for z in y:
-                if root[z] != root[x]:
-                    common = len(np.intersect1d(full[x], full[z], assume_unique=True))
-                    if 100 * common >= percent * (len(full[x]) + len(full[z]) - common):
-                        out.append((node[x], node[z]))
-                        root[root == root[z]] = root[x]
+        for x, y in pairs_within(bucket) if i == k else pairs_between(np.flatnonzero(side == i), np.flatnonzero(side == k)):
+            open_ = root[x] != root[y]
+            x, y = x[open_], y[open_]
+            first = ~((keys[x] == keys[y]) & earlier[x]).any(1)
+            x, y = x[first], y[first]
+            if not len(x):
+                continue
+            good = likely(regs[x], regs[y], size[x], size[y], least)
+            for a, b in zip(x[good].tolist(), y[good].tolist()):
+                if root[a] != root[b]:
+                    common = len(np.intersect1d(full[a], full[b], assume_unique=True))
+                    if 100 * common >= percent * (len(full[a]) + len(full[b]) - common):
+                        out.append((node[a], node[b]))
+                        root[root == root[b]] = root[a]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    return seated.groupBy("bucket", "i", "k").applyInPandas(run, "a long, b long")
+    return seated.groupBy("call", "i", "k").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, stars: int = 2) -> DataFrame:
