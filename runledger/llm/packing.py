@@ -2,7 +2,7 @@
 
 Multiplicative weights price the lengths by the share of their demand that is covered, an unbounded knapsack by dynamic programming finds the
 best configuration through each length, and rounds go on until all are covered nearly evenly. The mixture is rounded by largest remainder; best
-fit packs what is left, into its free tokens first. Where best fit alone takes fewer sequences it is returned instead, and logged. The driver
+fit packs what is left, into its free tokens first; pieces as long as a sequence are placed as they are. The driver
 sees one count a length (at most `capacity`) and returns a table of runs of equal sequences; pieces find their place by their rank among pieces
 of their length.
 Null text counts as empty (one closing id); an empty table gives no rows; other columns are ignored; repeated rows are packed each.
@@ -30,21 +30,26 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def encoder(path: str):
     """Function from a text to its ids. A byte-level vocabulary numbered in the order of its merges is run by tiktoken, which gives the ids that
-    the tokenizers library gives in less time; any other vocabulary by the tokenizers library."""
+    the tokenizers library gives in less time; any other vocabulary, and texts that hold one of its added tokens, by the tokenizers library."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     vocab, merges, split = spec["model"]["vocab"], spec["model"].get("merges", []), spec.get("pre_tokenizer") or {}
     pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+
+    def exact(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
     plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and not spec.get("normalizer")
     if plain and all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(pairs)):
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
         ranks = {bytes(byte_of[c] for c in token): n for token, n in vocab.items() if n < 256 + len(pairs)}
-        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    tokenizer.no_truncation()
-    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        special = [t["content"] for t in spec.get("added_tokens") or []]
+        return lambda text: exact(text) if any(t in text for t in special) else fast(text)
+    return exact
 
 
 def cut(docs: DataFrame, path: str, end: int = 2, capacity: int = 1024, batch_chars: int = 4 << 20) -> DataFrame:
@@ -182,14 +187,32 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int, begun=()) -
 
 
 def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int = 1024) -> list[tuple[int, np.ndarray]]:
-    """The program's sequences and best fit for the rest, or best fit alone where that takes fewer sequences; the log says which."""
-    first = mixture(lengths, counts, capacity)
-    left = counts - sum((copies * c for copies, c in first), np.zeros_like(counts))
-    both, alone = best_fit(lengths, left, capacity, first), best_fit(lengths, counts, capacity)
-    share, total, plain = (sum(copies for copies, _ in p) for p in (first, both, alone))
-    said = "program" if total <= plain else "best fit alone"
-    LOG.log(logging.INFO if total <= plain else logging.WARNING, "packing: %d of %d sequences from the linear program, best fit alone %d; %s returned", share, total, plain, said)
-    return both if total <= plain else alone
+    """The program's sequences, best fit for the rest. Pieces that fill a sequence are placed as they are. Of the
+    program's configurations those with the fewest free tokens are taken, so that what is left to best fit keeps small pieces among it. The share is
+    chosen by the number of sequences in the end, of equal ones for the most sequences from the program."""
+    whole = np.where(lengths == capacity, counts, 0)
+    out = [(int(whole.sum()), np.where(lengths == capacity, 1, 0))] if whole.any() else []
+    counts = counts - whole
+    some = np.flatnonzero(counts)
+    if not len(some):
+        return out
+    few, left = lengths[some], counts[some]
+    found = sorted(mixture(few, left, capacity), key=lambda x: capacity - int(x[1] @ few))
+    reach = np.cumsum([copies for copies, _ in found])
+    tried = []
+    for share in (1.0, 0.98, 0.95, 0.9, 0.85, 0.8, 0.7, 0.6, 0.5, 0.4):
+        kept = found[: int(np.searchsorted(reach, share * reach[-1], "right"))] if found else []
+        rest = left - sum((copies * c for copies, c in kept), np.zeros_like(left))
+        both = best_fit(few, rest, capacity, kept)
+        tried.append((sum(copies for copies, _ in both), -sum(copies for copies, _ in kept), both))
+    LOG.debug("packing: sequences and those of the program by share %s", [t[:2] for t in tried])
+    total, program, both = min(tried, key=lambda t: t[:2])
+    LOG.info("packing: %d whole pieces; of %d more sequences %d from the linear program", whole.sum(), total, -program)
+    for copies, c in both:
+        config = np.zeros(len(lengths), np.int64)
+        config[some] = c
+        out.append((copies, config))
+    return out
 
 
 def places(lengths: np.ndarray, configs: list[tuple[int, np.ndarray]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
