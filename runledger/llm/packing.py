@@ -200,7 +200,7 @@ def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int = 1024) -> list[
     found = sorted(mixture(few, left, capacity), key=lambda x: capacity - int(x[1] @ few))
     reach = np.cumsum([copies for copies, _ in found])
     tried = []
-    for share in (1.0, 0.98, 0.95, 0.9, 0.85, 0.8, 0.7, 0.6, 0.5, 0.4):
+    for share in (1.0, 0.98, 0.95, 0.9, 0.85, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1):
         kept = found[: int(np.searchsorted(reach, share * reach[-1], "right"))] if found else []
         rest = left - sum((copies * c for copies, c in kept), np.zeros_like(left))
         both = best_fit(few, rest, capacity, kept)
