@@ -1,8 +1,9 @@
 """K-d tree sharding by weight, in DataFrame functions only.
 
-Rows with equal texts form one group and share a shard. A group's metadata dimensions are its size and its fingerprint; every node is cut
-at the exact weighted median along its widest dimension. Null text counts as empty (size 1); an empty table gives an empty result; other
-columns are ignored; repeated rows are kept, each with its own slot.
+A row's metadata are the size of its text and its bytes per code point (which tells scripts apart), both functions of the text, so equal texts
+share a shard and no row has to meet another one to find its place. Every node is cut at the exact weighted median along its widest dimension, until
+its bytes are nearer to the target than their half. Null text counts as empty (size 1); an empty table gives an empty result; ties in a dimension
+are cut by the text's hash; very long texts weigh what they weigh; repeated rows are kept, each with its own slot, in the shard of their text, however many they are; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -12,20 +13,23 @@ from pyspark.sql import functions as F
 
 from runledger.llm.shared import id_and_text, materialize
 
-BITS, STEP = 60, 12
+BITS, STEP, FINE = 60, 12, 20
+DIMENSIONS = ("d0", "d1")
+CUTS = "node long, dimension int, cut long"
 
 
-def weighted_medians(nodes: DataFrame) -> dict[int, int]:
+def weighted_medians(keyed: DataFrame) -> dict[int, int]:
     """Per node the least key at or below which half of its weight lies; a histogram of 4096 bins a node and round reaches the driver."""
+    spark = keyed.sparkSession
     low: dict[int, int] = {}
     rest: dict[int, float] = {}
     for shift in range(BITS - STEP, -1, -STEP):
-        binned = nodes.withColumn("bin", F.shiftright("key", shift))
+        binned = keyed.withColumn("bin", F.shiftright("key", shift))
         if low:
-            at = F.create_map(*[F.lit(x).cast("long") for node in low for x in (node, low[node])])
-            binned = binned.filter(F.shiftright("bin", STEP) == at[F.col("node")])
+            at = spark.createDataFrame([(n, b) for n, b in low.items()], "node long, above long")
+            binned = binned.join(F.broadcast(at), "node").filter(F.shiftright("bin", STEP) == F.col("above"))
         bins: dict[int, list] = {}
-        for r in binned.groupBy("node", "bin").agg(F.sum("weight").alias("w")).collect():
+        for r in binned.groupBy("node", "bin").agg(F.sum("size").alias("w")).collect():
             bins.setdefault(r["node"], []).append((r["bin"], r["w"]))
         for node, pairs in bins.items():
             left = rest.setdefault(node, sum(w for _, w in pairs) / 2)
@@ -38,31 +42,36 @@ def weighted_medians(nodes: DataFrame) -> dict[int, int]:
     return low
 
 
-def shard_by_bytes(docs: DataFrame, levels: int = 3, rows_per_slot_block: int = 100_000) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    rows = materialize(
-        id_and_text(docs).select(
-            "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h")
-        ),
-        "sizes",
+def shard_by_bytes(docs: DataFrame, shards: int = 8, target_bytes: int | None = None, rows_per_slot_block: int = 100_000) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard. Leaves of about target_bytes; without it, an eighth (1 / shards) of all bytes."""
+    spark, text = docs.sparkSession, F.coalesce("text", F.lit(""))
+    wide, fine = F.octet_length(text).cast("double"), F.lit((1 << FINE) - 1)
+    rows = id_and_text(docs).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"),
+        F.floor(F.least(F.log2(wide + 1) / 40, F.lit(1.0)) * fine).cast("long").alias("d0"),
+        F.floor(F.least((wide + 1) / (F.length(text) + 1) - 1, F.lit(3.0)) / 3 * fine).cast("long").alias("d1"),
     )
-    groups = rows.groupBy("h", "text_crc32", "size").agg(F.sum("size").alias("weight"))
-    dims = [F.least(F.log2(F.col("size").cast("double")) / 40, F.lit(0.999999)) * (1 << 20), F.col("text_crc32") / (1 << 32) * (1 << 20)]
-    groups = groups.select("*", F.lit(0).cast("long").alias("node"), *[d.cast("long").alias(f"d{i}") for i, d in enumerate(dims)])
-    groups = materialize(groups, "groups")
-    for _ in range(levels):
-        widths = groups.groupBy("node").agg(*[(F.max(f"d{i}") - F.min(f"d{i}")).alias(f"w{i}") for i in range(2)]).collect()
-        if not widths:
+    rows = materialize(rows.withColumn("node", F.lit(1).cast("long")), "sizes")
+    cut_rows = rows
+    target = target_bytes or (rows.agg(F.sum("size")).first()[0] or 0) / shards
+    while True:
+        spread = [(F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS]
+        nodes = cut_rows.groupBy("node").agg(F.sum("size").alias("w"), F.min("h").alias("h0"), F.max("h").alias("h1"), *spread).collect()
+        open_ = {r["node"]: int(r["d1"] > r["d0"]) for r in nodes if r["w"] > target * 2**0.5 and r["h0"] != r["h1"]}
+        if not open_:
             break
-        wide = F.create_map(*[F.lit(x).cast("long") for r in widths for x in (r["node"], int(r["w1"] > r["w0"]))])
-        d = F.when(wide[F.col("node")] == 1, F.col("d1")).otherwise(F.col("d0"))
-        keyed = groups.withColumn("key", F.shiftleft(d, 40).bitwiseOR(F.col("h").bitwiseAND(F.lit((1 << 40) - 1))))
-        medians = weighted_medians(keyed.select("node", "key", "weight"))
-        cut = F.create_map(*[F.lit(x).cast("long") for node in medians for x in (node, medians[node])])
-        groups = keyed.withColumn("node", F.col("node") * 2 + (F.col("key") > cut[F.col("node")]).cast("long")).drop("key")
-    placed = rows.join(groups.select("h", "text_crc32", "size", F.col("node").cast("int").alias("shard")), ["h", "text_crc32", "size"])
+        dims = spark.createDataFrame(list(open_.items()), "node long, dimension int")
+        d = F.when(F.col("dimension") == 1, F.col("d1")).otherwise(F.col("d0"))
+        key = F.shiftleft(d, BITS - FINE).bitwiseOR(F.col("h").bitwiseAND(F.lit((1 << (BITS - FINE)) - 1)))
+        keyed = cut_rows.join(F.broadcast(dims), "node").select("node", key.alias("key"), "size")
+        medians, top = weighted_medians(keyed), {r["node"]: r["top"] for r in keyed.groupBy("node").agg(F.max("key").alias("top")).collect()}
+        # A text that outweighs all before it is cut off alone.
+        cuts = spark.createDataFrame([(n, x, min(medians[n], top[n] - 1)) for n, x in open_.items()], CUTS)
+        node = F.when(F.col("cut").isNull(), F.col("node")).otherwise(F.col("node") * 2 + (key > F.col("cut")).cast("long"))
+        cut_rows = cut_rows.join(F.broadcast(cuts), "node", "left").withColumn("node", node).drop("dimension", "cut")
+    leaves = spark.createDataFrame([(r["node"], i) for i, r in enumerate(sorted(nodes))] or [(1, 0)], "node long, shard int")
     n = max(1, rows.count() // rows_per_slot_block)
-    placed = materialize(placed.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(n))), "placed")
+    placed = materialize(cut_rows.join(F.broadcast(leaves), "node").withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(n))), "placed")
     order = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = placed.groupBy("shard", "part").agg(F.count("*").alias("n")).select("shard", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("first"))
     slot = F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32")) - 1
