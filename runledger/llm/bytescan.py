@@ -52,8 +52,8 @@ def text_column(batch: pa.RecordBatch | pa.Table, name: str = "text") -> pa.Arra
     return pc.fill_null(column, "").cast(pa.large_string())
 
 
-def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, offsets from 0) of consecutive rows with about `most` bytes together."""
+def slices(column: pa.Array, most: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, offsets from 0) of consecutive rows, at most `rows`, with about `most` bytes together."""
     n = len(column)
     if not n:
         return
@@ -63,7 +63,7 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
     row = 0
     while row < n:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1)
-        end = min(end, n)
+        end = min(end, n, row + rows)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
 

@@ -17,12 +17,14 @@ from runledger.llm.bytescan import slices, text_column
 from runledger.llm.shared import crc_mod
 
 DIM = 4096
+#: Texts of a slice: their matrix stays under 32 MB, however short they are.
+ROWS = 1024
 
 
 def counts(texts, most: int = 1 << 19):
     """(first row, row count, matrix of trigram counts) by slices; a trigram never crosses two texts."""
     column = text_column(pa.table({"text": pa.array(texts, pa.string())}))
-    for first, end, data, offsets in slices(column, most):
+    for first, end, data, offsets in slices(column, most, ROWS):
         d = data.astype(np.uint32)
         n = end - first
         if len(d) < 3:

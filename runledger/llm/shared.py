@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees. It is set here only where the session has none (tests)."""
+    """The folder every executor sees. Only a local session that has none gets one here; on a cluster a machine's own folder would not do."""
     if folder := spark.conf.get("spark.checkpoint.dir", None):
         return folder.rstrip("/")
     if folder := spark.sparkContext.getCheckpointDir():
         return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
