@@ -1 +1 @@
-
+"""Operators over any DataFrame."""

@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from runledger.operators.ranks import competition_rank
 from runledger.sources.tables import LADDER, ladder, runs, table
 
 
@@ -14,13 +15,13 @@ def _placed(spark, sf_dir):
 
 def ladder_placing(spark, sf_dir):
     """Places count on from the higher rounds; ties share a place and leave a gap."""
-    w = Window.partitionBy("day").orderBy(F.desc("step"), F.desc("score"))
-    return _placed(spark, sf_dir).withColumn("place", F.rank().over(w).cast("long"))
+    key = F.col("step") * (1 << 40) + F.col("score")
+    return competition_rank(_placed(spark, sf_dir).withColumn("_key", key), ["day"], "_key", "place").drop("_key")
 
 
 def ladder_dense(spark, sf_dir):
-    w = Window.partitionBy("day").orderBy(F.desc("step"), F.desc("score"), "user_id")
-    return _placed(spark, sf_dir).withColumn("position", F.row_number().over(w).cast("long")).drop("score")
+    key = F.col("step") * (1 << 40) + F.col("score")
+    return competition_rank(_placed(spark, sf_dir).withColumn("_key", key), ["day"], "_key", "position", then=[F.col("user_id")]).select("day", "user_id", "step", "position")
 
 
 def progression_check(spark, sf_dir):
@@ -65,10 +66,16 @@ def carried_value(spark, sf_dir):
 
 
 def set_algebra(spark, sf_dir):
-    """Users by what they did: both signup and purchase, one alone, neither."""
-    did = lambda t: F.max(F.when(F.col("event_type") == t, 1).otherwise(0))
-    users = table(spark, sf_dir, "events").groupBy("user_id").agg(did("signup").alias("signup"), did("purchase").alias("purchase"))
-    return users.groupBy("signup", "purchase").agg(F.count("*").alias("n_users"))
+    """Sets of a day's athletes: clicks and signups, their union, difference both ways, common part and symmetric difference; and the baseline that
+    keeps what was registered (the day before) or is published now, without the forgotten (every seventh)."""
+    sets = ladder(spark, sf_dir).groupBy("day", "user_id").agg(F.max((F.col("step") == 2).cast("int")).alias("c"), F.max((F.col("step") == 3).cast("int")).alias("s"))
+    now = sets.groupBy("day").agg(
+        F.count_if((F.col("c") == 1) | (F.col("s") == 1)).alias("n_union"), F.count_if((F.col("c") == 1) & (F.col("s") == 1)).alias("n_both"),
+        F.count_if((F.col("c") == 1) & (F.col("s") == 0)).alias("n_clicks_only"), F.count_if((F.col("c") == 0) & (F.col("s") == 1)).alias("n_signups_only"), F.count_if(F.col("c") != F.col("s")).alias("n_symmetric"),
+    )
+    published = sets.filter("s = 1").select("day", "user_id")
+    kept = published.unionByName(published.withColumn("day", F.date_add("day", 1))).distinct().filter("user_id % 7 <> 0").groupBy("day").agg(F.count("*").alias("n_baseline"))
+    return now.join(kept, "day", "left").fillna(0, ["n_baseline"])
 
 
 def identity_unify(spark, sf_dir):
@@ -107,7 +114,9 @@ SQL = {
     "affiliation_islands": """WITH m AS (SELECT *, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
  i AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id)::BIGINT AS island FROM m) SELECT user_id, island, event_type, count(*) AS n, arg_min(event_id, (ts, event_id)) AS first_event FROM i GROUP BY 1, 2, 3""",
     "carried_value": "SELECT event_id, user_id, last_value(CASE WHEN event_type = 'purchase' THEN round(value * 100)::BIGINT END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS carried FROM events",
-    "set_algebra": "WITH u AS (SELECT user_id, max((event_type = 'signup')::INT) AS signup, max((event_type = 'purchase')::INT) AS purchase FROM events GROUP BY 1) SELECT signup, purchase, count(*) AS n_users FROM u GROUP BY 1, 2",
+    "set_algebra": f"""WITH {LADDER}, c AS (SELECT DISTINCT day, user_id FROM ladder WHERE step = 2), s AS (SELECT DISTINCT day, user_id FROM ladder WHERE step = 3), d AS (SELECT DISTINCT day FROM ladder), p AS (SELECT * FROM s UNION SELECT day + 1, user_id FROM s),
+ n AS (SELECT day, (SELECT count(*) FROM c WHERE c.day = d.day) AS nc, (SELECT count(*) FROM s WHERE s.day = d.day) AS ns, (SELECT count(*) FROM c JOIN s USING (day, user_id) WHERE c.day = d.day) AS n_both, (SELECT count(*) FROM p WHERE p.day = d.day AND user_id % 7 <> 0) AS n_baseline FROM d)
+ SELECT day, nc + ns - n_both AS n_union, n_both, nc - n_both AS n_clicks_only, ns - n_both AS n_signups_only, nc + ns - 2 * n_both AS n_symmetric, n_baseline FROM n""",
     "identity_unify": """WITH k AS (SELECT user_id, ts, event_id, regexp_extract(props, '"k": *(\\d+)', 1)::BIGINT AS k FROM events), f AS (SELECT *, first_value(k) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS first_k FROM k)
  SELECT user_id, first_k, count(*) FILTER (WHERE k <> first_k) AS n_other, count(*) AS n FROM f GROUP BY 1, 2""",
     "page_of_results": f"WITH {_RUNS} SELECT run_id, athlete, score_k FROM runs ORDER BY score_k DESC, run_id LIMIT 50 OFFSET 50",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from runledger.plans import checks, ladder, scoring, texts
+from runledger.operators.ranks import competition_rank
+from runledger.plans import checks, ladder, matching, publish, rounds, scoring, texts, wording
 from runledger.sources.tables import runs, table
 
 
@@ -17,8 +18,7 @@ BLOCK = ("season", "series")
 
 
 def season_rank(spark, sf_dir):
-    w = Window.partitionBy(*BLOCK).orderBy(F.desc("score_k"))
-    return runs(spark, sf_dir).filter("status = 'OK'").select("run_id", *BLOCK, "score_k", F.rank().over(w).cast("long").alias("rank"))
+    return competition_rank(runs(spark, sf_dir).filter("status = 'OK'").select("run_id", *BLOCK, "score_k"), list(BLOCK), "score_k")
 
 
 def topn_with_ties(spark, sf_dir):
@@ -26,8 +26,8 @@ def topn_with_ties(spark, sf_dir):
 
 
 def rank_tiebreak_keys(spark, sf_dir):
-    w = Window.partitionBy(*BLOCK).orderBy(F.desc("score_k"), "date", "run_id")
-    return runs(spark, sf_dir).filter("status = 'OK'").select("run_id", *BLOCK, F.rank().over(w).cast("long").alias("rank"))
+    rows = runs(spark, sf_dir).filter("status = 'OK'").select("run_id", *BLOCK, "score_k", "date")
+    return competition_rank(rows, list(BLOCK), "score_k", then=[F.col("date"), F.col("run_id")]).select("run_id", *BLOCK, "rank")
 
 
 def series_summary(spark, sf_dir):
@@ -38,10 +38,11 @@ def series_summary(spark, sf_dir):
 
 
 def cut_lines(spark, sf_dir):
-    ranked = rank_tiebreak_keys(spark, sf_dir)
-    return ranked.groupBy(*BLOCK).agg(
-        F.min_by("run_id", "rank").alias("winner"), F.max(F.when(F.col("rank") <= 16, F.struct("rank", "run_id"))).getField("run_id").alias("cut"), F.count("*").alias("n_ok")
-    )
+    """Winner and 16th place (the last, where there are fewer) of each block; only the first 16 rows of a block are ever sorted together."""
+    rows = runs(spark, sf_dir).filter("status = 'OK'").select("run_id", *BLOCK, "score_k", "date")
+    counts = rows.groupBy(*BLOCK).agg(F.count("*").alias("n_ok"))
+    first = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*BLOCK).orderBy(F.desc("score_k"), "date", "run_id"))).filter("rank <= 16")
+    return first.groupBy(*BLOCK).agg(F.min_by("run_id", "rank").alias("winner"), F.max_by("run_id", "rank").alias("cut")).join(counts, list(BLOCK))
 
 
 def athlete_dimension(spark, sf_dir):
@@ -52,9 +53,12 @@ def athlete_dimension(spark, sf_dir):
 
 
 def completeness(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n_lines"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select("o_orderkey", F.coalesce("n_lines", F.lit(0)).alias("n_lines")).filter("n_lines = 0")
+    """Orders without a line, or with other than the printed number of lines, and whether their lines are numbered twice."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n_lines"), F.countDistinct("l_linenumber").alias("n_numbers"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 7 + 1).alias("printed"))
+    both = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select("o_orderkey", "printed", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("n_numbers", F.lit(0)).alias("n_numbers"))
+    kind = F.when(F.col("n_lines") == 0, "none").when(F.col("n_lines") != F.col("n_numbers"), "repeated").when(F.col("n_lines") != F.col("printed"), "count").otherwise("ok")
+    return both.select("o_orderkey", "printed", "n_lines", kind.alias("kind")).filter("kind <> 'ok'")
 
 
 def repeated_rows(spark, sf_dir):
@@ -94,13 +98,14 @@ SQL = {
     "series_summary": f"WITH {RUNS} SELECT series, count(DISTINCT season) AS seasons, min(season) AS first_season, max(season) AS last_season, count(*) AS n_runs, count(DISTINCT athlete) AS athletes FROM runs GROUP BY series",
     "cut_lines": f"WITH {RUNS}, k AS ({_KEYS}) SELECT season, series, arg_min(run_id, rank) AS winner, arg_max(run_id, rank) FILTER (WHERE rank <= 16) AS cut, count(*) AS n_ok FROM k GROUP BY season, series",
     "athlete_dimension": f"WITH {RUNS}, o AS (SELECT *, row_number() OVER (PARTITION BY athlete ORDER BY date DESC, run_id DESC) AS rn FROM runs) SELECT athlete, count(*) AS n_runs, max(date) AS last_date, max(CASE WHEN rn = 1 THEN series END) AS last_series, max(CASE WHEN status = 'OK' THEN score_k END) AS best FROM o GROUP BY athlete",
-    "completeness": "SELECT o_orderkey, CAST(0 AS BIGINT) AS n_lines FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
+    "completeness": """WITH l AS (SELECT o_orderkey, o_custkey % 7 + 1 AS printed, count(l_orderkey) AS n_lines, count(DISTINCT l_linenumber) AS d FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)
+ SELECT o_orderkey, printed, n_lines, CASE WHEN n_lines = 0 THEN 'none' WHEN n_lines <> d THEN 'repeated' ELSE 'count' END AS kind FROM l WHERE n_lines = 0 OR n_lines <> d OR n_lines <> printed""",
     "repeated_rows": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "shared_document": "SELECT sha256(text) AS sha, count(DISTINCT source) AS n_sources FROM documents GROUP BY 1 HAVING count(DISTINCT source) > 1",
     "gap_clusters": "SELECT event_id, user_id, CAST(sum(g) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS cluster FROM (SELECT event_id, user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 6 HOUR THEN 1 ELSE 0 END AS g FROM events)",
     "heading_fill_forward": "SELECT conv_id, turn, role, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text RANGE UNBOUNDED PRECEDING) AS heading FROM conversations",
     "dd_consistency": "SELECT p_brand, p_type, count(DISTINCT p_size) AS n_sizes, min(p_size) AS least, max(p_size) AS most FROM part GROUP BY 1, 2 HAVING count(DISTINCT p_size) > 1",
 }
-for module in (scoring, checks, ladder, texts):
+for module in (scoring, checks, ladder, texts, matching, rounds, publish, wording):
     QUERIES |= {f.__name__: f for f in module.LIST}
     SQL |= module.SQL

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from runledger.functions.exact import hundredths
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,10 +31,6 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hundredths(x):
-    return F.floor(x.cast("double") * 100).cast("long")
-
-
 def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five judge marks and two air marks of each vector, as hundredths."""
     rows = table(spark, sf_dir, "embeddings").filter("size(embedding) >= 7")
@@ -47,7 +45,7 @@ def ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.filter("step IS NOT NULL").withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn", "ts")
 
 
-MARKS = "marks AS (SELECT vec_id, list_transform(embedding[1:5], lambda x: CAST(floor(CAST(x AS DOUBLE) * 100) AS BIGINT)) AS m, list_transform(embedding[6:7], lambda x: CAST(floor(CAST(x AS DOUBLE) * 100) AS BIGINT)) AS air FROM embeddings WHERE len(embedding) >= 7)"
+MARKS = "marks AS (SELECT vec_id, list_transform(embedding[1:5], lambda x: CAST(trunc(CAST(x AS DOUBLE) * 100) AS BIGINT)) AS m, list_transform(embedding[6:7], lambda x: CAST(trunc(CAST(x AS DOUBLE) * 100) AS BIGINT)) AS air FROM embeddings WHERE len(embedding) >= 7)"
 LADDER = """ladder AS (SELECT event_id, user_id, day, step, score FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day, step ORDER BY ts, event_id) AS rn FROM
  (SELECT event_id, user_id, ts, CAST(ts AS DATE) AS day, CAST(round(value * 100) AS BIGINT) AS score,
  CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3 WHEN 'purchase' THEN 4 END AS BIGINT) AS step FROM events) WHERE step IS NOT NULL) WHERE rn = 1)"""
