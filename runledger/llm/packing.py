@@ -159,7 +159,7 @@ def mixture(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tupl
     out = []
     for _, copies, at, n in rounded:
         if copies:
-            config = np.zeros(len(lengths), np.int64)
+            config = np.zeros(len(lengths), np.int32)
             config[at] = n
             out.append((copies, config))
     return out
@@ -180,7 +180,7 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int, begun=()) -
         used = added > 0
         copies = min(most, int((left[used] // added[used]).min())) if used.any() else most
         left -= copies * added
-        out.append((copies, start + added))
+        out.append((copies, (start + added).astype(np.int32)))
         if start.any() and copies < most:
             begun.append((most - copies, start))
     return out
@@ -199,17 +199,22 @@ def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int = 1024) -> list[
     few, left = lengths[some], counts[some]
     found = sorted(mixture(few, left, capacity), key=lambda x: capacity - int(x[1] @ few))
     reach = np.cumsum([copies for copies, _ in found])
-    tried = []
+    best = None
     for share in (1.0, 0.98, 0.95, 0.9, 0.85, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1):
         kept = found[: int(np.searchsorted(reach, share * reach[-1], "right"))] if found else []
-        rest = left - sum((copies * c for copies, c in kept), np.zeros_like(left))
+        rest = left.copy()
+        for copies, c in kept:
+            at = np.flatnonzero(c)
+            rest[at] -= copies * c[at].astype(np.int64)
         both = best_fit(few, rest, capacity, kept)
-        tried.append((sum(copies for copies, _ in both), -sum(copies for copies, _ in kept), both))
-    LOG.debug("packing: sequences and those of the program by share %s", [t[:2] for t in tried])
-    total, program, both = min(tried, key=lambda t: t[:2])
+        found_ = (sum(copies for copies, _ in both), -sum(copies for copies, _ in kept))
+        LOG.debug("packing: sequences and those of the program at share %s: %s", share, found_)
+        if best is None or found_ < best[:2]:
+            best = (*found_, both)
+    total, program, both = best
     LOG.info("packing: %d whole pieces; of %d more sequences %d from the linear program", whole.sum(), total, -program)
     for copies, c in both:
-        config = np.zeros(len(lengths), np.int64)
+        config = np.zeros(len(lengths), np.int32)
         config[some] = c
         out.append((copies, config))
     return out
