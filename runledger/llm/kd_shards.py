@@ -8,14 +8,22 @@ are cut by the text's hash; very long texts weigh what they weigh; repeated rows
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runledger.llm.shared import id_and_text, materialize
 
 BITS, STEP, FINE = 60, 12, 20
 DIMENSIONS = ("d0", "d1")
-CUTS = "node long, dimension int, cut long"
+
+
+def small(spark: SparkSession, **columns: list[int]) -> DataFrame:
+    """A table of whole numbers, one row a node, made from a literal."""
+    rows = [dict(zip(columns, values)) for values in zip(*columns.values())]
+    schema = f"array<struct<{','.join(f'{c}:bigint' for c in columns)}>>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema)))
 
 
 def weighted_medians(keyed: DataFrame) -> dict[int, int]:
@@ -26,7 +34,7 @@ def weighted_medians(keyed: DataFrame) -> dict[int, int]:
     for shift in range(BITS - STEP, -1, -STEP):
         binned = keyed.withColumn("bin", F.shiftright("key", shift))
         if low:
-            at = spark.createDataFrame([(n, b) for n, b in low.items()], "node long, above long")
+            at = small(spark, node=list(low), above=list(low.values()))
             binned = binned.join(F.broadcast(at), "node").filter(F.shiftright("bin", STEP) == F.col("above"))
         bins: dict[int, list] = {}
         for r in binned.groupBy("node", "bin").agg(F.sum("size").alias("w")).collect():
@@ -60,16 +68,17 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, target_bytes: int | None =
         open_ = {r["node"]: int(r["d1"] > r["d0"]) for r in nodes if r["w"] > target * 2**0.5 and r["h0"] != r["h1"]}
         if not open_:
             break
-        dims = spark.createDataFrame(list(open_.items()), "node long, dimension int")
+        dims = small(spark, node=list(open_), dimension=list(open_.values()))
         d = F.when(F.col("dimension") == 1, F.col("d1")).otherwise(F.col("d0"))
         key = F.shiftleft(d, BITS - FINE).bitwiseOR(F.col("h").bitwiseAND(F.lit((1 << (BITS - FINE)) - 1)))
         keyed = cut_rows.join(F.broadcast(dims), "node").select("node", key.alias("key"), "size")
         medians, top = weighted_medians(keyed), {r["node"]: r["top"] for r in keyed.groupBy("node").agg(F.max("key").alias("top")).collect()}
         # A text that outweighs all before it is cut off alone.
-        cuts = spark.createDataFrame([(n, x, min(medians[n], top[n] - 1)) for n, x in open_.items()], CUTS)
+        cuts = small(spark, node=list(open_), dimension=list(open_.values()), cut=[min(medians[n], top[n] - 1) for n in open_])
         node = F.when(F.col("cut").isNull(), F.col("node")).otherwise(F.col("node") * 2 + (key > F.col("cut")).cast("long"))
         cut_rows = cut_rows.join(F.broadcast(cuts), "node", "left").withColumn("node", node).drop("dimension", "cut")
-    leaves = spark.createDataFrame([(r["node"], i) for i, r in enumerate(sorted(nodes))] or [(1, 0)], "node long, shard int")
+    names = sorted(r["node"] for r in nodes) or [1]
+    leaves = small(spark, node=names, shard=list(range(len(names)))).withColumn("shard", F.col("shard").cast("int"))
     n = max(1, rows.count() // rows_per_slot_block)
     placed = materialize(cut_rows.join(F.broadcast(leaves), "node").withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(n))), "placed")
     order = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
