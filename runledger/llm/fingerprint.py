@@ -1,8 +1,9 @@
 """Context-triggered piecewise hashing: a rolling hash cuts chunks, each chunk gives one sign, signatures compare by edit distance.
 
-A text has signatures at its block size and at twice that; fingerprints compare where block sizes agree. The next document in falling doc_id is
-found by id ranges: each range also gets the first document of the range below. Equal ids follow their texts. Null text counts as empty; a null id
-comes last; a lone document is its own next; other columns are ignored; repeated rows give a row each; an empty table gives no rows.
+A text has signatures at its block size and at twice that; fingerprints compare where block sizes agree. Documents are sorted by falling doc_id in
+ranges that a task reads as a stream, each row against the one after it; the last row of each range meets the first of the next by a join.
+Equal ids follow the hashes of their texts, and equal rows their input partitions, so that one id may fill many ranges. Null text counts as empty;
+a null id comes last; a lone document is its own next; other columns are ignored; repeated rows give a row each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -11,15 +12,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runledger.llm.bytescan import _BYTE_CODE, U64, mix, span_hashes
-from runledger.llm.shared import blocks_for, id_and_text
+from runledger.llm.shared import blocks_for, id_and_text, materialize
 
 SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 WINDOW, LONGEST, LEAST_BLOCK = 7, 64, 3
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: Rows of a range's stream: results (no range), or the range's first and last row with their texts.
+STREAM = f"{SCHEMA}, range int, first boolean, text string"
+KINDS = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.bool_(), pa.string())
+NAMES = [part.split()[0] for part in STREAM.split(", ")]
 
 
 def fingerprint(text: str) -> str:
@@ -76,49 +81,55 @@ def likeness(x: str, y: str) -> float:
     return max((1 - edit_distance(own[k], other[k]) / max(len(own[k]), len(other[k]), 1) for k in shared if own[k] and other[k]), default=0.0)
 
 
-def compare_with_next(docs: DataFrame, range_bytes: int = 8 << 20) -> DataFrame:
-    rows = id_and_text(docs)
-    ranges = blocks_for(rows, "text", range_bytes)
-    place = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    ids = rows.select(place.alias("id"))
-    cuts = ids.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0] if ranges > 1 else None
-    cuts = np.unique(np.array(cuts or [], np.int64))
-
-    def tops(batches):
-        for batch in batches:
-            id_ = batch.column("id").to_numpy()
-            where = np.searchsorted(cuts, id_)
-            yield pa.RecordBatch.from_pydict({"range": [int(w) for w in np.unique(where)], "top": [int(id_[where == w].max()) for w in np.unique(where)]})
-
-    found = sorted((r["range"], r["top"]) for r in ids.mapInArrow(tops, "range long, top long").groupBy("range").agg(F.max("top").alias("top")).collect())
-    above = {top: found[(i + 1) % len(found)][0] for i, (_, top) in enumerate(found)}
-
-    def deal(batches):
-        for batch in batches:
-            id_ = batch.column("doc_id").fill_null(-(1 << 63)).to_numpy()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.searchsorted(cuts, id_), pa.int64()), pa.array(np.zeros(len(id_), bool))], ["doc_id", "text", "range", "edge"])
-            at = [i for i, x in enumerate(id_.tolist()) if x in above]
-            if at:
-                edge = batch.take(pa.array(at))
-                yield pa.RecordBatch.from_arrays([*edge.columns, pa.array([above[int(id_[i])] for i in at], pa.int64()), pa.array(np.ones(len(at), bool))], ["doc_id", "text", "range", "edge"])
-
-    def compare(table: pa.Table) -> pa.Table:
-        rows = list(zip(*(table.column(c).to_pylist() for c in ("edge", "doc_id", "text"))))
-        order = [(edge, -(doc if doc is not None else -(1 << 63)), text or "", doc) for edge, doc, text in rows]
-        order.sort(key=lambda r: r[:3])
-        marks, out = None, []
-        for (edge, _, text, doc), following in zip(order, [*order[1:], None]):
-            if edge:
-                break
-            after = following[2]
-            n = len(text)
-            changed = text[: n - n // 3] + after[: n // 3]
-            own = marks if marks is not None else fingerprint(text)
-            marks, new = fingerprint(after), fingerprint(changed)
-            out.append((doc, n, hashlib.sha256(changed.encode()).hexdigest(), own, new, likeness(own, new), likeness(own, marks)))
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-        columns = zip(*out) if out else [[]] * 7
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-
-    dealt = rows.mapInArrow(deal, "doc_id long, text string, range long, edge boolean")
-    return dealt.groupBy("range").applyInArrow(compare, SCHEMA)
+def compared(doc, text: str, own: str, after: str, following: str) -> tuple:
+    """The result of one document with fingerprint `own`, before a text `after` with fingerprint `following`."""
+    n = len(text)
+    changed = text[: n - n // 3] + after[: n // 3]
+    new = fingerprint(changed)
+    return doc, n, hashlib.sha256(changed.encode()).hexdigest(), own, new, likeness(own, new), likeness(own, following)
+
+
+def record_batch(rows: list[tuple], width: int) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * width
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, KINDS)], NAMES[:width])
+
+
+def stream(batches):
+    """Results of all rows but the last, and both ends, of one range in order."""
+    kept = None
+    for batch in batches:
+        out = []
+        for doc, text, range_ in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "range"))):
+            mark = fingerprint(text)
+            if kept:
+                out.append((*compared(*kept[:3], text, mark), None, None, None))
+            else:
+                out.append((doc, None, None, mark, None, None, None, range_, True, text))
+            kept = doc, text, mark, range_
+        yield record_batch(out, len(KINDS))
+    if kept:
+        doc, text, mark, range_ = kept
+        yield record_batch([(doc, None, None, mark, None, None, None, range_, False, text)], len(KINDS))
+
+
+def join_ends(batches):
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "fingerprint", "after", "following")))
+        yield record_batch([compared(*row) for row in rows], 7)
+
+
+def compare_with_next(docs: DataFrame, range_bytes: int = 128 << 20) -> DataFrame:
+    """The digest columns of each document; ranges of about range_bytes of text, as many as the session has cores at least."""
+    rows = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
+    ranges = max(docs.sparkSession.sparkContext.defaultParallelism, blocks_for(rows, "text", range_bytes))
+    keyed = rows.withColumn("place", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("tie", F.xxhash64("text")).withColumn("part", F.spark_partition_id())
+    dealt = keyed.repartitionByRange(ranges, F.desc("place"), "tie", "part").sortWithinPartitions(F.desc("place"), "tie")
+    streamed = materialize(dealt.select("doc_id", "text", F.spark_partition_id().alias("range")).mapInArrow(stream, STREAM), "fingerprints")
+
+    # One number a range, without its texts, tells which range comes next; the last is followed by the first.
+    firsts = streamed.filter("first").select(F.col("range").alias("next"), F.col("text").alias("after"), F.col("fingerprint").alias("following"))
+    in_order = Window.orderBy("range")
+    below = firsts.select(F.col("next").alias("range")).select("range", F.coalesce(F.lead("range").over(in_order), F.first("range").over(in_order)).alias("next"))
+    lasts = streamed.filter("NOT first").select("doc_id", "text", "fingerprint", "range")
+    ends = lasts.join(below, "range").join(firsts, "next").select("doc_id", "text", "fingerprint", "after", "following").mapInArrow(join_ends, SCHEMA)
+    return streamed.filter("range IS NULL").select(*NAMES[:7]).unionByName(ends)

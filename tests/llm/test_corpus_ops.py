@@ -99,7 +99,39 @@ def test_fingerprints(spark):
         edited = x[: n - n // 3] + text[following[d]][: n // 3]
         assert r["n_chars"] == n and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert (r["fingerprint"], r["edited_fingerprint"]) == (fingerprint.fingerprint(x), fingerprint.fingerprint(edited))
-        assert 0 <= r["near_next"] <= 1 and 0 <= r["near_edited"] <= 1
+        assert r["near_edited"] == plain_likeness(r["fingerprint"], r["edited_fingerprint"])
+        assert r["near_next"] == plain_likeness(r["fingerprint"], got[following[d]]["fingerprint"])
+
+
+def plain_likeness(x, y):
+    if x == y:
+        return 1.0
+    sides, best = [], 0.0
+    for mark in (x, y):
+        size, single, double = mark.split(":")
+        sides.append({int(size): single, 2 * int(size): double})
+    for size in sides[0]:
+        a, b = sides[0][size], sides[1].get(size, "")
+        if a and b:
+            row = list(range(len(b) + 1))
+            for i, c in enumerate(a, 1):
+                last, row[0] = row[0], i
+                for j, e in enumerate(b, 1):
+                    last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != e))
+            best = max(best, 1 - row[-1] / max(len(a), len(b)))
+    return best
+
+
+def test_fingerprints_of_one_hot_id(spark):
+    """One id on most rows, equal rows among them, and null ids: every row once, each row's next differs in place alone."""
+    texts = [f"text {i % 40} " * 30 for i in range(300)]
+    data = [(7 if i % 10 else (None if i % 20 else 9), t, None, 1, 0.5, i) for i, t in enumerate(texts)]
+    got = fingerprint.compare_with_next(spark.createDataFrame(data, COLUMNS), range_bytes=4000).collect()
+    assert Counter((r["doc_id"], r["fingerprint"]) for r in got) == Counter((d, fingerprint.fingerprint(t)) for d, t, *_ in data)
+    edited = {(hashlib.sha256((a[: len(a) - len(a) // 3] + b[: len(a) // 3]).encode()).hexdigest()) for a in set(texts) for b in set(texts)}
+    assert all(r["edited_sha256"] in edited for r in got)
+    lone = fingerprint.compare_with_next(spark.createDataFrame(data[:1], COLUMNS)).collect()
+    assert len(lone) == 1 and lone[0]["near_edited"] == lone[0]["near_next"] == 1.0
 
 
 def test_packing_covers_every_token_once(spark):
