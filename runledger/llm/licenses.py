@@ -1,17 +1,20 @@
 """License scans by conditional compression, confirmed by exact wording differences.
 
-A wording's identifying words (in braces below) must all occur in a match, so a text that holds no wording's longest identifying word (its cue)
-has no match: this filter loses nothing. Around each cue lies a candidate block, wide enough for every match through it. Blocks are compressed
-alone and with each wording as raw dictionary; wordings are tried by falling size reduction, and the first wins whose fewest word edits against
-a stretch of the block are at most a seventh of its words (one at least, none below four words). Of findings that overlap, the larger reduction
-stays, then the earlier, then the license of lesser name.
+Words are compared in lower case, with one spelling of `license` and of version numbers (v2, 2.0). A match has at most a seventh of its wording's
+words edited (one at least, none below four words). An edit removes one word at most, so of any more distinct words of the wording one stays: these,
+the longest, are its cues. A wording may also name words (in braces below: names and versions) that must stay; then its longest such word is the
+cue. Texts without any cue have no match: this filter loses nothing. Around each cue lies a candidate block, wide enough for every match through it.
+Blocks that lack more of a wording's words than may be edited are left out; the others are compressed alone and with each wording as raw dictionary.
+Wordings are tried by falling size reduction, then fewer edits; the first wins whose fewest word edits against a stretch of the block are few enough.
+Of findings that overlap, the larger reduction stays, then the earlier, then the license of lesser name.
 Null or empty texts and empty tables give no rows; other columns are ignored; repeated rows give repeated findings.
 """
 
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import pandas as pd
 import zstandard
@@ -20,21 +23,27 @@ from pyspark.sql import functions as F
 
 from runledger.llm.shared import id_and_text
 
-# License names and public wordings; braces mark identifying words.
+# License names and public wordings; braces mark words that must stay.
 WORDINGS = [
     ("MIT", "Released under the {MIT} {License}"),
     ("MIT", "This project is licensed under the terms of the {MIT} {license}"),
-    ("MIT", "Permission is hereby {granted}, free of charge, to any person {obtaining} a copy of this {software} and associated {documentation} files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, {sublicense}, and/or sell copies of the Software"),
-    ("ISC", "Permission to use, copy, modify, and/or {distribute} this {software} for any {purpose} with or without {fee} is hereby {granted}, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
     ("Apache-2.0", "Licensed under the {Apache} License, Version {2.0}"),
     ("Apache-2.0", "This project is released under the {Apache} {2.0} license"),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are {permitted} provided that the following {conditions} are met"),
+    ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://{www.apache.org}/licenses/LICENSE-2.0"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("BSD", "Released under the {BSD} {License}"),
     ("BSD-3-Clause", "Released under the {BSD} {3-Clause} License"),
     ("BSD-2-Clause", "Released under the {BSD} {2-Clause} License"),
     ("GPL-3.0", "This work is licensed under the {GNU} {General} {Public} License, version {3}"),
     ("GPL-2.0", "This work is licensed under the {GNU} {General} {Public} License, version {2}"),
     ("GPL", "you can redistribute it and/or modify it under the terms of the {GNU} {General} {Public} License as published by the Free Software Foundation"),
+    ("LGPL", "you can redistribute it and/or modify it under the terms of the {GNU} {Lesser} {General} {Public} License as published by the Free Software Foundation"),
+    ("AGPL", "you can redistribute it and/or modify it under the terms of the {GNU} {Affero} {General} {Public} License as published by the Free Software Foundation"),
     ("LGPL-2.1", "This work is licensed under the {GNU} {Lesser} {General} {Public} License, version {2.1}"),
     ("LGPL-3.0", "This work is licensed under the {GNU} {Lesser} {General} {Public} License, version {3}"),
     ("AGPL-3.0", "This work is licensed under the {GNU} {Affero} {General} {Public} License, version {3}"),
@@ -42,17 +51,19 @@ WORDINGS = [
     ("MPL-2.0", "Licensed under the {Mozilla} Public License, version {2.0}"),
     ("EPL-2.0", "This program is made available under the terms of the {Eclipse} Public License {2.0}"),
     ("BSL-1.0", "Distributed under the {Boost} {Software} License, Version {1.0}"),
-    ("Zlib", "This software is provided {as-is}, without any express or implied {warranty}. In no event will the {authors} be held liable for any {damages} arising from the use of this software"),
-    ("Unlicense", "This is free and {unencumbered} {software} released into the {public} {domain}"),
-    ("CC0-1.0", "To the extent possible under law, the author has {waived} all {copyright} and related or neighboring rights to this work"),
+    ("Zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software"),
+    ("Unlicense", "This is free and {unencumbered} software released into the public domain"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("all-rights-reserved", "All {rights} {reserved}"),
 ]
 CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
 VERSIONS = ("4.0", "3.0")
 WORDINGS += [(f"CC-{k}-{v}", w) for k, name in CC.items() for v in VERSIONS for w in (f"{{Licensed}} under {{CC}} {{{k}}} {{{v}}}", f"This work is licensed under a {{Creative}} Commons {{{name}}} {{{v}}} International License")]
-WORDINGS += [(k, f"{{SPDX-License-Identifier}}: {{{k}}}") for k in sorted({k for k, _ in WORDINGS} - {"all-rights-reserved", "GPL", "BSD"})]
+TAGS = {k for k, _ in WORDINGS} - {"all-rights-reserved", "GPL", "LGPL", "AGPL", "BSD"}
+WORDINGS += [(k, f"{{SPDX-License-Identifier}}: {{{k}{end}}}") for k in sorted(TAGS) for end in (("", "-only", "-or-later") if "GPL" in k else ("",))]
 
 WORD = re.compile(r"[A-Za-z0-9]+(?:[.\-][A-Za-z0-9]+)*")
+VERSION = re.compile(r"v?(\d+(?:\.\d+)*?)(?:\.0)?")
 SCHEMA = "doc_id long, license string, start long, n_words int, differences int, saved_bytes long, wording string"
 
 
@@ -83,6 +94,13 @@ def best_stretch(pattern: list[str], words: list[str]) -> tuple[int, int, int]:
     return least, end - length, end
 
 
+def spelled(word: str) -> str:
+    """Lower case, `license` for `licence`, and version numbers without v or a last .0."""
+    word = word.lower()
+    version = VERSION.fullmatch(word)
+    return version[1] if version else word.replace("licenc", "licens")
+
+
 class Scanner:
     """Wordings with their cues and dictionaries; blocks that recur are judged once."""
 
@@ -90,14 +108,14 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=level)
         self.by_cue: dict[str, list] = {}
         for name, text in wordings:
-            words = [w.lower() for w in WORD.findall(text)]
-            marked = {w.lower() for part in re.findall(r"\{(.*?)\}", text) for w in WORD.findall(part)}
+            words = [spelled(w) for w in WORD.findall(text)]
+            marked = {spelled(w) for part in re.findall(r"\{(.*?)\}", text) for w in WORD.findall(part)}
             most = 0 if len(words) < 4 else max(1, len(words) // 7)
             raw = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             given = zstandard.ZstdCompressor(level=level, dict_data=raw)
-            cue = max(marked, key=lambda w: (len(w), w))
-            before, after = len(words) - 1 - words[::-1].index(cue) + most, len(words) - words.index(cue) + most
-            self.by_cue.setdefault(cue, []).append((name, words, marked, most, given, before, after))
+            for cue in sorted(marked or set(words), key=lambda w: (-len(w), w))[: 1 if marked else most + 1]:
+                before, after = len(words) - 1 - words[::-1].index(cue) + most, len(words) - words.index(cue) + most
+                self.by_cue.setdefault(cue, []).append((name, words, marked, most, given, before, after))
         self.judge = lru_cache(4096)(self._judge)
 
     def _judge(self, cue: str, p: int, block: str):
@@ -106,18 +124,17 @@ class Scanner:
         for name, pattern, marked, most, given, before, after in self.by_cue[cue]:
             first = max(0, p - before)
             own = words[first : p + after]
-            if marked <= set(own):
+            if marked <= set(own) and len(set(pattern).difference(own)) <= most:
                 data = " ".join(own).encode()
-                ranked.append((len(given.compress(data)) - len(self.plain.compress(data)), name, pattern, marked, most, first, own))
-        for saved, name, pattern, marked, most, first, own in sorted(ranked, key=lambda r: r[:3]):
-            least, start, end = best_stretch(pattern, own)
+                ranked.append((len(given.compress(data)) - len(self.plain.compress(data)), *best_stretch(pattern, own), name, marked, most, first, own))
+        for saved, least, start, end, name, marked, most, first, own in sorted(ranked, key=lambda r: r[:5]):
             if least <= most and start <= p - first < end and marked <= set(own[start:end]):
                 return name, first + start - p, first + end - p, least, saved
         return None
 
     def scan(self, text: str) -> list[tuple]:
         spans = [m.span() for m in WORD.finditer(text)]
-        words = [text[a:b].lower() for a, b in spans]
+        words = [spelled(text[a:b]) for a, b in spans]
         found = set()
         for p, cue in enumerate(words):
             if cue in self.by_cue:
@@ -134,9 +151,11 @@ class Scanner:
         return sorted(kept, key=lambda r: r[1])
 
 
-def cue_pattern(wordings=tuple(WORDINGS)) -> str:
-    """A regular expression (Java's) that finds any cue, whatever the case of its ASCII letters."""
-    return "(?i)(?:" + "|".join(sorted(map(re.escape, Scanner(wordings).by_cue))) + ")"
+def has_cue(text: str, wordings=tuple(WORDINGS)):
+    """Whether the column holds a cue in either spelling, whatever its case; the text is lowered once."""
+    cues = Scanner(wordings).by_cue
+    spellings = sorted({c for cue in cues for c in (cue, cue.replace("licens", "licenc"))})
+    return F.transform(F.array(F.lower(text)), lambda low: reduce(or_, (F.contains(low, F.lit(c)) for c in spellings)))[0]
 
 
 def find_licenses(docs: DataFrame, wordings=tuple(WORDINGS)) -> DataFrame:
@@ -149,4 +168,4 @@ def find_licenses(docs: DataFrame, wordings=tuple(WORDINGS)) -> DataFrame:
             frame = pd.DataFrame(out, columns=["doc_id", "license", "start", "n_words", "differences", "saved_bytes", "wording"])
             yield frame.assign(doc_id=pd.array([None if pd.isna(d) else int(d) for d in frame["doc_id"]], "Int64"))
 
-    return id_and_text(docs).filter(F.col("text").rlike(cue_pattern(wordings))).mapInPandas(run, SCHEMA)
+    return id_and_text(docs).filter(has_cue("text", wordings)).mapInPandas(run, SCHEMA)

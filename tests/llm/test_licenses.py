@@ -1,6 +1,7 @@
 """License findings against a plain search over every stretch of every text."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import SparkSession
@@ -61,3 +62,41 @@ def test_planted_lines(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r["doc_id"] for r in find_licenses(docs).collect()}
     assert got == {r["doc_id"] for r in docs.filter("text rlike '(?i)licen[sc]e|all rights reserved'").collect()}
+
+
+def test_spelling_versions_and_tags():
+    scanner = Scanner()
+    for text, name in [
+        ("Released under the MIT Licence", "MIT"),
+        ("Licenced under the Apache Licence, Version v2.0", "Apache-2.0"),
+        ("This work is licensed under the GNU General Public License, version 3.0", "GPL-3.0"),
+        ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"),
+        ("SPDX-License-Identifier: AGPL-3.0-only", "AGPL-3.0"),
+        ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "LGPL"),
+    ]:
+        assert [g[0] for g in scanner.scan(f"some prose {text} and more prose")] == [name], text
+    assert scanner.scan("SPDX-License-Identifier: GPL-9.0-only") == scanner.scan("Released under the House License") == []
+
+
+def test_as_many_edits_as_allowed_anywhere():
+    """Any words but those in braces may be the edited ones, cues among them."""
+    pick = random.Random(8)
+    scanner = Scanner()
+    for name, text in WORDINGS:
+        n = len(WORD.findall(plain(text)))
+        most = 0 if n < 4 else max(1, n // 7)
+        spans = [m.span() for m in WORD.finditer(text)]
+        free = [(a, b) for a, b in spans if not re.search(r"\{[^}]*$", text[:a])]
+        longest = sorted(free, key=lambda ab: ab[0] - ab[1])[:most]
+        for chosen in [longest, *(pick.sample(free, min(most, len(free))) for _ in range(5))]:
+            edited = text
+            for a, b in sorted(chosen, reverse=True):
+                edited = edited[:a] + "qqq" + edited[b:]
+            got = scanner.scan("before it " * 30 + plain(edited) + " after it" * 30)
+            assert len(got) == 1 and got[0][3] <= len(chosen), (name, edited, got)
+
+
+def test_filter_keeps_every_text_with_a_cue(spark):
+    data = [(i, plain(t).upper().replace("LICENS", "LICENC"), "x", 1, "y") for i, (_, t) in enumerate(WORDINGS)]
+    got = find_licenses(spark.createDataFrame(data, COLUMNS)).collect()
+    assert {r["doc_id"] for r in got} == set(range(len(WORDINGS)))
