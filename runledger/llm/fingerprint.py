@@ -118,10 +118,11 @@ def join_ends(batches):
         yield record_batch([compared(*row) for row in rows], 7)
 
 
-def compare_with_next(docs: DataFrame, range_bytes: int = 128 << 20) -> DataFrame:
-    """The digest columns of each document; ranges of about range_bytes of text, as many as the session has cores at least."""
+def compare_with_next(docs: DataFrame, range_bytes: int = 32 << 20, most_ranges: int = 50_000) -> DataFrame:
+    """The digest columns of each document; ranges of about range_bytes of text, as many as the session has cores at least. Beyond most_ranges,
+    which keeps the shuffle's blocks and the sample of its bounds in check, ranges grow instead: they are streams, and Spark's sort spills."""
     rows = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    ranges = max(docs.sparkSession.sparkContext.defaultParallelism, blocks_for(rows, "text", range_bytes))
+    ranges = max(docs.sparkSession.sparkContext.defaultParallelism, min(most_ranges, blocks_for(rows, "text", range_bytes)))
     keyed = rows.withColumn("place", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("tie", F.xxhash64("text")).withColumn("part", F.spark_partition_id())
     dealt = keyed.repartitionByRange(ranges, F.desc("place"), "tie", "part").sortWithinPartitions(F.desc("place"), "tie")
     streamed = materialize(dealt.select("doc_id", "text", F.spark_partition_id().alias("range")).mapInArrow(stream, STREAM), "fingerprints")
