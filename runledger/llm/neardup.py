@@ -225,14 +225,23 @@ def pairs_between(left: np.ndarray, right: np.ndarray):
 
 def across(where: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between different roots in one bucket; where: node, bucket, members, root. Buckets of up to BLOCK nodes are searched many to a
-    call; of a larger one a call sees two blocks of about BLOCK nodes. Nodes bring their full sets; each likely pair is checked in the first
-    bucket that both share, and only links that join what the call has not joined yet are returned."""
+    call. In a larger one the nodes of its commonest root and the rest fill blocks of about BLOCK nodes of their own; a call sees two blocks,
+    never two of the commonest root, so a bucket costs its size times the nodes outside that root, over BLOCK. Nodes bring their full sets;
+    each likely pair is checked in the first bucket that both share, and only links that join what the call has not joined yet are returned."""
     least = percent / 100
     sets = full_sets(where.select("node"), nodes, docs, width)
-    own = where.join(nodes.select("node", "regs", "n_shingles"), "node").withColumn("blocks", F.ceil(F.col("members") / BLOCK))
-    own = own.withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    shares = where.filter(F.col("members") > BLOCK).groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    commonest = shares.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"))
+    own = where.join(nodes.select("node", "regs", "n_shingles"), "node").join(commonest, "bucket", "left")
+    own = own.withColumn("alike", F.ceil(F.col("top.n") / BLOCK)).withColumn("blocks", F.col("alike") + F.ceil((F.col("members") - F.col("top.n")) / BLOCK))
+    inside, by_hash = F.col("root") == F.col("top.root"), F.xxhash64("node", F.lit(5))
+    block = F.when(inside, F.pmod(by_hash, "alike")).otherwise(F.col("alike") + F.pmod(by_hash, F.col("blocks") - F.col("alike")))
+    meets = F.sequence(F.when(inside, F.col("alike")).otherwise(F.lit(0).cast("long")), F.col("blocks") - 1)
+    small = F.col("top").isNull()
+    own = own.withColumn("own", F.when(small, F.lit(0).cast("long")).otherwise(block))
+    own = own.withColumn("other", F.explode(F.when(small, F.array(F.lit(0).cast("long"))).otherwise(meets)))
     calls = F.lit(max(1, where.count() // TOGETHER))
-    call = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("bucket", F.lit(9)), calls)).otherwise(F.col("bucket"))
+    call = F.when(small, F.pmod(F.xxhash64("bucket", F.lit(9)), calls)).otherwise(F.col("bucket"))
     seated = own.select(call.alias("call"), "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("k"), "own", "node", "root", "n_shingles", "regs").join(sets, "node")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
