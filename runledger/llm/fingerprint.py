@@ -3,7 +3,8 @@
 A text has signatures at its block size and at twice that; fingerprints compare where block sizes agree. Documents are sorted by falling doc_id in
 ranges that a task reads as a stream, each row against the one after it; the last row of each range meets the first of the next by a join.
 Equal ids follow the hashes of their texts, and equal rows their input partitions, so that one id may fill many ranges. Null text counts as empty;
-a null id comes last; a lone document is its own next; other columns are ignored; repeated rows give a row each; an empty table gives no rows.
+a null id comes last; a lone document is its own next; very long texts stay whole within a range; ties of likeness do not arise,
+as each document meets one other; other columns are ignored; repeated rows give a row each; an empty table gives no rows.
 """
 
 from __future__ import annotations

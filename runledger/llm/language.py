@@ -1,8 +1,12 @@
 """Nearest-centroid language identification on hashed TF-IDF byte trigrams of letters, several centroids a language.
 
 Document frequencies cover all training texts; centroids are fitted by spherical k-means on at most `sample` training texts, shared
-out evenly over the languages, LEAST a language at least (different rows of least hash, two bytes a dimension); all other texts are only scored. A text without a letter, or null, is `und` with score 0; `rejected` marks these and texts whose best
-cosine is below the floor of their language and length class, learned from all training texts' cosines (`least` is the lowest floor). Other columns are ignored; repeated rows give repeated results; with no training text every row is `und`.
+out evenly over the languages, LEAST a language at least (different rows of least hash, two bytes a dimension); all other texts are only scored.
+
+A text that is null, empty or without a letter is `und` with score 0; `rejected` marks these and texts whose best cosine is below the floor of their
+language and length class, learned from all training texts' cosines (`least` is the lowest floor). Very long texts are one slice of their own,
+scored whole; of equal cosines the language first in order wins; other columns are ignored; repeated rows give repeated results; an empty table
+gives no rows; with no training text every row is `und`.
 """
 
 from __future__ import annotations

@@ -5,8 +5,8 @@ spaced values, truncated to a byte; unions take the greater register. Sets equal
 star stage a node meets one leader; then every bucket that still spans several components is searched for links across components,
 in blocks of bounded size that return joining links alone. Links are confirmed on full sets, so a wrong candidate never links. A linked pair is missed
 by all 25 bands with chance (1 - s**5)**25 at most, 4.3e-7 at s = 0.85.
-Null or empty texts have no set and are components of their own; repeated rows and equal ids give a row each; an empty table gives no rows;
-other columns are ignored.
+Null or empty texts have no set and are components of their own; very long texts are one slice of their own, their sets whole; a similarity equal
+to the bound links; repeated rows and equal ids give a row each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

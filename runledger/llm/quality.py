@@ -3,8 +3,9 @@
 Tokens: runs of letters and digits, and runs of other signs; a token equal to its predecessor of the same kind becomes one "again" token.
 Unigrams and bigrams fall into 2**16 buckets. Raw counts cover all texts; the target model is fitted on half of at most `labelled` labelled
 rows (those of least hash), the threshold on the other half. k is the number of documents above the threshold, so sampling moves only those
-near it. Null or empty text has no tokens and is rejected; without labels of both kinds everything with tokens is kept; repeated rows and
-ties are treated alike unless their ids differ; other columns pass through untouched.
+near it. Null or empty text has no tokens and is rejected; very long texts are one slice of their own, weighed whole; without labels of both kinds
+everything with tokens is kept; rows that tie with the k-th key are all kept; repeated rows are treated alike unless their ids differ; an empty
+table gives no rows; other columns pass through untouched.
 """
 
 from __future__ import annotations
