@@ -6,7 +6,7 @@ from the left), so the cost grows with the bytes, not with the square of a piece
 rank than its own, such a rank merges one position of each piece at a time, which keeps the order exact.
 
 Null text counts as empty; an empty text has no ids and an empty table no rows; very long texts are one slice of their own; ties of rank merge from
-the left; repeated rows give repeated results; other columns, whatever their names, are ignored.
+the left; repeated rows and null ids give a row each; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from runledger.llm.bytescan import U64, slices, span_hashes, text_column
+from runledger.llm.bytescan import slices, span_array, text_column
 from runledger.llm.shared import id_and_text
 
-MOST_KEPT = 1 << 20
+MOST_KEPT, KEPT_BYTES = 1 << 20, 64 << 20
 SLICE = 8 << 20
 NONE = 1 << 30
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -116,7 +116,7 @@ class Codec:
         self.forget()
 
     def forget(self) -> None:
-        self.known = np.zeros(0, U64)
+        self.known, self.kept_bytes = {}, 0
         self.first, self.count, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -186,25 +186,22 @@ class Codec:
         stay = token[:n] >= 0
         return token[:n][stay], np.add.reduceat(stay.astype(np.int64), starts)
 
-    def learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+    def learn(self, pieces: list[bytes]) -> None:
         """Keep the ids of pieces not met before."""
-        raw, get = data.tobytes(), self.ranks.get
-        whole = np.array([get(raw[a:b], -1) for a, b in zip(starts.tolist(), ends.tolist())], np.int64)
+        get = self.ranks.get
+        whole = np.array([get(p, -1) for p in pieces], np.int64)
         apart = np.flatnonzero(whole < 0)
-        count, flat = np.ones(len(starts), np.int64), whole
+        count, flat = np.ones(len(pieces), np.int64), whole
         if len(apart):
-            size = (ends - starts)[apart]
-            borders = np.concatenate([[0], np.cumsum(size)])
-            own = data[np.arange(borders[-1]) + np.repeat(starts[apart] - borders[:-1], size)]
-            ids, count[apart] = self.merge(own, borders[:-1])
+            size = np.array([len(pieces[i]) for i in apart])
+            ids, count[apart] = self.merge(np.frombuffer(b"".join(pieces[i] for i in apart), np.uint8), np.cumsum(size) - size)
             flat = np.empty(count.sum(), np.int64)
             inner = np.repeat(whole < 0, count)
             flat[inner], flat[~inner] = ids, whole[whole >= 0]
         first = len(self.flat) + np.cumsum(count) - count
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        self.known, self.flat = known[order], np.concatenate([self.flat, flat])
-        self.first, self.count = np.concatenate([self.first, first])[order], np.concatenate([self.count, count])[order]
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+        self.kept_bytes += sum(map(len, pieces))
+        self.flat, self.first, self.count = np.concatenate([self.flat, flat]), np.concatenate([self.first, first]), np.concatenate([self.count, count])
 
     def encode_slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, borders of the texts in them); data: UTF-8 bytes, offsets: of each text."""
@@ -219,17 +216,13 @@ class Codec:
             point, stop = regex_points(self.pattern, text, borders)
         at_byte = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
         starts, ends = at_byte[point], at_byte[stop]
-        different, where, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) + len(different) > MOST_KEPT:
+        found = span_array(data, starts, ends).dictionary_encode()
+        different = found.dictionary.to_pylist()
+        if len(self.known) + len(different) > MOST_KEPT or self.kept_bytes > KEPT_BYTES:
             self.forget()
-        place = np.searchsorted(self.known, different)
-        new = np.ones(len(different), bool)
-        inside = place < len(self.known)
-        new[inside] = self.known[place[inside]] != different[inside]
-        if new.any():
-            self.learn(different[new], data, starts[where[new]], ends[where[new]])
-            place = np.searchsorted(self.known, different)
-        place = place[back]
+        if new := [p for p in different if p not in self.known]:
+            self.learn(new)
+        place = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))[found.indices.to_numpy()]
         count = self.count[place]
         reach = np.concatenate([[0], np.cumsum(count)])
         ids = self.flat[np.arange(reach[-1]) + np.repeat(self.first[place] - reach[:-1], count)]

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
 SLICE_BYTES = 2 << 20
@@ -88,15 +89,26 @@ def rows_of(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, by differences of one prefix sum."""
+    """A 64-bit hash of each span's bytes, by differences of one prefix sum. Some long spans share it by construction: only for features and signatures."""
     up, down = powers(len(data) + 1)
     prefix = np.zeros(len(data) + 1, U64)
     np.cumsum(_BYTE_CODE[data] * up[:-1], out=prefix[1:])
     return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+def span_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """The spans' bytes as an Arrow array."""
+    size = ends - starts
+    cuts = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    own = data[np.arange(cuts[-1]) + np.repeat(starts - cuts[:-1], size)] if len(starts) and cuts[-1] != ends[-1] - starts[0] else data[starts[0] : ends[-1]] if len(starts) else data[:0]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(own))])
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of each word: maximal runs without ASCII white space, A-Z lower-cased."""
+    """(hash, row) of each word: maximal runs without ASCII white space, A-Z lower-cased. Words are told apart by their bytes; each different one
+    is hashed by xxHash64, so two words share a hash by chance alone (2**-64 a pair)."""
     data = LOWER[data]
     starts, ends = spans(~SPACE[data], offsets)
-    return span_hashes(data, starts, ends), rows_of(starts, offsets)
+    words = span_array(data, starts, ends).dictionary_encode()
+    different = np.fromiter(map(xxhash.xxh64_intdigest, words.dictionary.to_pylist()), U64, len(words.dictionary))
+    return different[words.indices.to_numpy()] if len(starts) else np.zeros(0, U64), rows_of(starts, offsets)

@@ -59,3 +59,21 @@ def test_rows(library):
         want.append((d, len(ids), *(hashlib.sha256(x).hexdigest() for x in (" ".join(map(str, ids)).encode(), (t or "").encode()))))
     assert sorted(map(repr, map(tuple, got.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()))) == sorted(map(repr, want))
     assert digests(spark.createDataFrame([], COLUMNS), PATH).collect() == []
+
+
+def test_pieces_that_share_polynomial_hashes(codec, library):
+    """The Thue-Morse word and its complement: alike to any polynomial modulo 2**64."""
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    for text in (f"{word}\n{other}", f"{other}\n{word}", other, word):
+        assert codec.encode(text) == library.encode_ordinary(text)
+        assert codec.decode(codec.encode(text)) == text.encode()
+
+
+def test_few_pieces_kept(library, monkeypatch):
+    monkeypatch.setattr("runledger.llm.bpe.MOST_KEPT", 10)
+    small = Codec(PATH)
+    for text in hard_texts()[:200]:
+        assert small.encode(text) == library.encode_ordinary(text)

@@ -53,3 +53,16 @@ def test_large_buckets_equal_brute_force(monkeypatch, stars):
     want = plain(data)
     got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, 3, 85, stars=stars).collect()}
     assert got == want and 20 < len(set(want.values())) < len(data) - 60
+
+
+def test_words_that_share_polynomial_hashes():
+    """The Thue-Morse word and its complement are different words, so the two texts share no shingle."""
+    import pyarrow as pa
+
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    column = pa.array([word, word.translate(str.maketrans("ab", "ba")), word.upper()], pa.large_string())
+    ((_, _, borders, s),) = neardup.shingle_sets(column, 3)
+    sets = [set(s[a:b].tolist()) for a, b in zip(borders[:-1], borders[1:])]
+    assert sets[0] == sets[2] and not sets[0] & sets[1]

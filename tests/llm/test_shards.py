@@ -49,3 +49,75 @@ def test_target_bytes_and_hot_text(spark):
 
 def test_empty_table(spark):
     assert shard_by_bytes(spark.createDataFrame([], COLUMNS)).collect() == []
+
+
+def plain_tree(sizes, shards=8):
+    """{text: shard} by a plain k-d tree: heavy texts first, then cuts at the nearer side of the shards' share."""
+    import math
+
+    import xxhash
+
+    total, weight, out = sum(w for _, w in sizes), Counter(), {}
+    for t, w in sizes:
+        weight[t] += w
+    top = sorted(weight, key=lambda t: -weight[t])
+    for t in top[: shards - 1]:
+        if weight[t] * (shards - len(out)) < total:
+            break
+        total -= weight[t]
+        out[t] = shards - 1 - len(out)
+    h = {t: xxhash.xxh64_intdigest(t.encode(), seed=42) & ((1 << 40) - 1) for t in weight}
+    fine = (1 << 20) - 1
+    d = {t: (math.floor(min(math.log2(len(t.encode()) + 1) / 40, 1) * fine), math.floor(min((len(t.encode()) + 1) / (len(t) + 1) - 1, 3) / 3 * fine)) for t in weight}
+
+    def cut(texts, first, k):
+        if k == 1 or len(texts) == 1:
+            out.update(dict.fromkeys(texts, first))
+            return
+        if not texts:
+            return
+        spread = [max(d[t][i] for t in texts) - min(d[t][i] for t in texts) for i in (0, 1)]
+        dim = int(spread[1] > spread[0])
+        texts = sorted(texts, key=lambda t: (d[t][dim], h[t]))
+        whole, share, before = sum(weight[t] for t in texts), k // 2 / k, 0
+        for n, t in enumerate(texts):  # noqa: B007
+            if whole * share <= before + weight[t]:
+                break
+            before += weight[t]
+        if not (before and (whole * share - before < before + weight[t] - whole * share or before + weight[t] == whole)):
+            n += 1
+        cut(texts[:n], first, k // 2)
+        cut(texts[n:], first + k // 2, k - k // 2)
+
+    cut([t for t in weight if t not in out], 0, shards - len(out))
+    return out
+
+
+def lengths(seed):
+    import random
+
+    pick = random.Random(seed)
+    return [max(1, int(pick.lognormvariate(6, 1.3))) for _ in range(pick.choice([3, 9, 20, 60]))]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_skewed_tables_equal_a_plain_tree(spark, seed):
+    """Small tables of heavy-tailed lengths: shards 0 to 7 alone, as the plain tree has them."""
+    texts = [chr(97 + i % 26) * n + str(i) for i, n in enumerate(lengths(seed))] * 1
+    got = shard_by_bytes(spark.createDataFrame([(i, t, 1, "x", 2) for i, t in enumerate(texts)], COLUMNS)).collect()
+    want = plain_tree([(t, len(t.encode()) + 1) for t in texts])
+    assert {r["doc_id"]: r["shard"] for r in got} == {i: want[t] for i, t in enumerate(texts)}
+    assert {r["shard"] for r in got} <= set(range(8))
+
+
+def test_plain_tree_is_near_equal():
+    """200 random tables: eight shards, none far above an even share or the heaviest text."""
+    for seed in range(200):
+        texts = [chr(97 + i % 26) * n + str(i) for i, n in enumerate(lengths(seed + 1000))]
+        sizes = [(t, len(t) + 1) for t in texts]
+        shard, load = plain_tree(sizes), Counter()
+        for t, w in sizes:
+            load[shard[t]] += w
+        assert set(load) <= set(range(8))
+        if len(texts) >= 20:
+            assert max(load.values()) <= max(max(w for _, w in sizes), 2.2 * sum(w for _, w in sizes) / 8)
