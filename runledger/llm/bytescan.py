@@ -14,6 +14,7 @@ import xxhash
 
 U64 = np.uint64
 SLICE_BYTES = 2 << 20
+SHORT = 16
 #: Odd multiplier of the rolling hash and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
@@ -105,10 +106,13 @@ def span_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Lar
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of each word: maximal runs without ASCII white space, A-Z lower-cased. Words are told apart by their bytes; each different one
-    is hashed by xxHash64, so two words share a hash by chance alone (2**-64 a pair)."""
+    """(hash, row) of each word: maximal runs without ASCII white space, A-Z lower-cased. Words of over SHORT bytes are told apart by their bytes and
+    each different one is hashed by xxHash64, for long spans can share a polynomial hash by construction; two words share a hash by chance alone."""
     data = LOWER[data]
     starts, ends = spans(~SPACE[data], offsets)
-    words = span_array(data, starts, ends).dictionary_encode()
-    different = np.fromiter(map(xxhash.xxh64_intdigest, words.dictionary.to_pylist()), U64, len(words.dictionary))
-    return different[words.indices.to_numpy()] if len(starts) else np.zeros(0, U64), rows_of(starts, offsets)
+    h = span_hashes(data, starts, ends)
+    long = np.flatnonzero(ends - starts > SHORT)
+    if len(long):
+        words = span_array(data, starts[long], ends[long]).dictionary_encode()
+        h[long] = np.fromiter(map(xxhash.xxh64_intdigest, words.dictionary.to_pylist()), U64, len(words.dictionary))[words.indices.to_numpy()]
+    return h, rows_of(starts, offsets)

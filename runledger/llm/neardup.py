@@ -7,7 +7,8 @@ in blocks of bounded size that return joining links alone. Links are confirmed o
 by all 25 bands with chance (1 - s**5)**25 at most, 4.3e-7 at s = 0.85.
 Null or empty texts have no set and are components of their own; very long texts are one slice of their own, their sets whole; a similarity equal
 to the bound links; repeated rows and equal ids give a row each; a row without an id joins a row with an id and an equal set alone, and is
-always kept; words and shingles are compared as 64-bit hashes (xxHash64 of each different word), so unlike ones coincide with chance 2**-64 a pair; an empty table gives no rows; other columns are ignored.
+always kept; words and shingles are compared as 64-bit hashes (of long words xxHash64), so unlike ones coincide by chance alone,
+about 2**-63 a pair; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
