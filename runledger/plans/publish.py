@@ -131,7 +131,16 @@ def _issues():
  UNION ALL SELECT 'readers', state, l_orderkey FROM ({MATCH['reader_sequence_compare']})) SELECT layer, kind, count(*) AS n, array_to_string(list(key ORDER BY key)[1:3], ',') AS first_keys FROM e GROUP BY 1, 2"""
 
 
+def _shards():
+    from runledger.plans.published import CRC
+
+    return f"""WITH {_RUNS}, {CRC}, r AS (SELECT athlete, season, series, shard FROM runs JOIN shards USING (athlete)), s AS (SELECT season, series, count(*) AS size FROM runs GROUP BY 1, 2)
+ SELECT shard, (SELECT count(*) FROM r WHERE r.shard = e.shard) AS n_runs, count(*) AS n_rounds, sum(size)::BIGINT AS round_sizes, (SELECT count(DISTINCT athlete) FROM r WHERE r.shard = e.shard) AS n_athletes
+ FROM (SELECT DISTINCT shard, season, series FROM r) e JOIN s USING (season, series) GROUP BY shard"""
+
+
 SQL = {
+    "shards_and_sizes": _shards(),
     "flat_export": f"""WITH {MARKS} SELECT vec_id, m[1] AS j1, m[2] AS j2, m[3] AS j3, m[4] AS j4, m[5] AS j5, air[1] AS a1, air[2] AS a2, list_sum(list_sort(m)[2:4])::BIGINT AS turns, list_sum(air)::BIGINT AS air_total, true AS agrees FROM marks""",
     "incremental_hash_check": f"""WITH {_RUNS}, s AS (SELECT season, run_id, ('0x' || sha256(run_id || '|' || score_k)[1:8])::BIGINT AS here, ('0x' || sha256(run_id || '|' || (score_k + CASE WHEN run_id % 223 = 0 THEN 1 ELSE 0 END))[1:8])::BIGINT AS one,
   CASE WHEN run_id % 211 = 0 THEN 0 WHEN run_id % 227 = 0 THEN 2 ELSE 1 END AS copies FROM runs)
