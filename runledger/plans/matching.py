@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from runledger.functions.exact import close, hundredths
 from runledger.functions.names import fold, name_key, number_key
+from runledger.operators.sequences import best_of
 from runledger.sources.tables import table
 
 FIELD = 64
@@ -179,12 +180,15 @@ def _part_sets(spark, sf_dir):
 
 
 def table_match(spark, sf_dir):
-    """For each tenth order without its least part, the customer's order with exactly these parts, else the one with the fewest that holds them all."""
-    have = _part_sets(spark, sf_dir).select("o_custkey", F.col("o_orderkey").alias("match"), "parts")
-    want = _part_sets(spark, sf_dir).filter("o_orderkey % 10 = 0 AND size(parts) > 1").select("o_custkey", F.col("o_orderkey").alias("target"), F.slice("parts", 2, 1 << 20).alias("wanted"))
-    both = want.join(have, "o_custkey").filter(F.size(F.array_except("wanted", "parts")) == 0).withColumn("same", F.size("wanted") == F.size("parts"))
-    best = F.row_number().over(Window.partitionBy("target").orderBy(F.desc("same"), F.size("parts"), "match"))
-    return both.withColumn("rn", best).filter("rn = 1").select("target", "match", F.when(F.col("same"), "same size").otherwise("superset").alias("how"))
+    """For each order without its least part, the customer's order with exactly these parts, else the one with the fewest that holds them all. Shared
+    parts are counted by an inverted join, so two orders meet only where they share a part."""
+    sets = _part_sets(spark, sf_dir)
+    have = sets.select("o_custkey", F.col("o_orderkey").alias("match"), F.size("parts").alias("n_have"), F.explode("parts").alias("part"))
+    want = sets.filter("size(parts) > 1").select("o_custkey", F.col("o_orderkey").alias("target"), (F.size("parts") - 1).alias("n_want"), F.explode(F.slice("parts", 2, 1 << 20)).alias("part"))
+    common = want.join(have, ["o_custkey", "part"]).groupBy("target", "match").agg(F.count("*").alias("common"), F.first("n_want").alias("n_want"), F.first("n_have").alias("n_have"))
+    whole = common.filter("common = n_want").withColumn("same", F.col("n_want") == F.col("n_have"))
+    best = best_of(whole, ["target"], F.struct("same", -F.col("n_have"), -F.col("match")), ["match", "same"])
+    return best.select("target", "match", F.when(F.col("same"), "same size").otherwise("superset").alias("how"))
 
 
 def reader_sequence_compare(spark, sf_dir):
@@ -237,7 +241,7 @@ SQL = {
  CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 4 <> 0 THEN 'note-' || p_partkey || '-2' WHEN p_partkey % 8 = 0 THEN 'note-' || p_partkey || '-1' END AS note FROM part WHERE p_partkey % 10 <> 9""",
     "range_pairing": """WITH r AS (SELECT s_suppkey AS code, s_nationkey % 2 AS kind FROM supplier), n AS (SELECT a.code AS a, b.code AS b, abs(a.code - b.code) AS gap FROM r a JOIN r b ON a.kind = 0 AND b.kind = 1 AND b.code BETWEEN a.code - 2 AND a.code + 2)
  SELECT a, b, gap FROM n WHERE (gap, b) = (SELECT min((x.gap, x.b)) FROM n x WHERE x.a = n.a) AND (gap, a) = (SELECT min((x.gap, x.a)) FROM n x WHERE x.b = n.b)""",
-    "table_match": f"""WITH {_SETS}, w AS (SELECT o_custkey, o_orderkey AS target, parts[2:] AS wanted FROM p WHERE o_orderkey % 10 = 0 AND len(parts) > 1),
+    "table_match": f"""WITH {_SETS}, w AS (SELECT o_custkey, o_orderkey AS target, parts[2:] AS wanted FROM p WHERE len(parts) > 1),
  c AS (SELECT target, o_orderkey AS match, len(parts) = len(wanted) AS same, row_number() OVER (PARTITION BY target ORDER BY len(parts) = len(wanted) DESC, len(parts), o_orderkey) AS rn FROM w JOIN p USING (o_custkey) WHERE list_has_all(parts, wanted))
  SELECT target, match, CASE WHEN same THEN 'same size' ELSE 'superset' END AS how FROM c WHERE rn = 1""",
     "reader_sequence_compare": """WITH a AS (SELECT l_orderkey, list(trunc(l_quantity)::BIGINT ORDER BY l_linenumber, l_partkey, l_quantity) AS a, list(trunc(l_quantity)::BIGINT + CASE WHEN l_orderkey % 97 = 0 AND l_linenumber = 1 THEN 1 ELSE 0 END ORDER BY l_linenumber, l_partkey, l_quantity) AS b FROM lineitem GROUP BY 1),
