@@ -65,11 +65,13 @@ def rules_first_non_empty(spark, sf_dir):
 
 
 def issue_kinds(spark, sf_dir):
-    """Findings of three checks in one table: by layer and kind how many, and the least three keys of each."""
+    """Findings of three checks in one table, written once: by layer and kind how many, and the least three keys of each."""
     a = external_cascade_match(spark, sf_dir).filter("finding <> 'ok'").select(F.lit("ranking").alias("layer"), F.col("finding").alias("kind"), F.col("line").alias("key"))
     b = input_fixes(spark, sf_dir).filter("state = 'unused'").select(F.lit("fixes").alias("layer"), F.col("field").alias("kind"), F.col("o_orderkey").alias("key"))
     c = reader_sequence_compare(spark, sf_dir).select(F.lit("readers").alias("layer"), F.col("state").alias("kind"), F.col("l_orderkey").alias("key"))
-    every = a.unionByName(b).unionByName(c)
+    path = scratch_path(spark, "issues")
+    a.unionByName(b).unionByName(c).write.parquet(path)
+    every = spark.read.schema("layer string, kind string, key long").parquet(path)
     first = every.withColumn("place", F.row_number().over(Window.partitionBy("layer", "kind").orderBy("key"))).filter("place <= 3")
     shown = first.groupBy("layer", "kind").agg(F.array_join(F.transform(F.array_sort(F.collect_list("key")), lambda x: x.cast("string")), ",").alias("first_keys"))
     return every.groupBy("layer", "kind").agg(F.count("*").alias("n")).join(F.broadcast(shown), ["layer", "kind"])
