@@ -5,10 +5,10 @@ A state is a context (up to order - 1 tokens, or the start of a text) seen in tr
 base probability. A state is fixed by the last order - 1 tokens, so a traversal that starts that many tokens back is in the same state: all
 positions of a block are traversed at once, from their highest state down the failure arcs to the first arc that fits.
 
-Documents lie in blocks of about `block_bytes`, taken in input order. Each block sends its n-grams once, sorted and delta-coded, to the part
-that owns their range of hashes; the part answers with what other blocks add to each count, in the block's own order. So no task and no
-broadcast sees the whole model, and the model grows with the corpus. Keys are 63-bit hashes. A block whose rows differ between its two readings
-is an error, not a wrong score.
+Documents lie in blocks of about `block_bytes`, written once in the shared folder, so that a lost executor or an input that comes in another
+order changes no block. Each block sends its n-grams once to the parts that own their ranges of hashes and gets back what other blocks add to
+each count (`counts`; beyond `fan` parts by way of teams of blocks). So no task and no broadcast sees the whole model, the model grows with the
+corpus, and the rows exchanged grow with the number of blocks. Keys are 63-bit hashes.
 
 Null text counts as empty (one end token); an empty table gives no rows; a null id is a training text; very long texts are blocks of their own;
 other columns, whatever their names, are ignored; repeated rows are scored and counted each.
@@ -19,19 +19,17 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm.bytescan import U64, mix, slices, text_column, word_hashes
+from runledger.llm.counts import MESSAGE, elsewhere, mark, messages, ranges, unpacked
 from runledger.llm.shared import crc_mod, id_and_text, materialize
 
 START, END = U64(0x6C62272E07BB0142), U64(0xA24BAED4963EE407)
 START_KEY = mix(np.array([START ^ U64(1)])) >> U64(1)
 ROW = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-#: Rows of an answer that carry a part's training tokens (in `n`) and distinct ones (in `own`) have this block.
-SUMMARY = -1
 
 
 def tokens(column):
@@ -70,16 +68,6 @@ def hashed(table: pa.Table, order: int):
     return [np.concatenate(p) for p in parts], np.concatenate(flags), np.concatenate(borders)
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Whole numbers by byte planes, compressed: planes of zeros cost next to nothing."""
-    return zstandard.compress(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<u8").ravel()
-
-
 def blocks_of(batches, block_bytes: int):
     """(block number, its rows) of a task's rows in input order."""
     base, index, held, size = TaskContext.get().partitionId() << 24, 0, [], 0
@@ -139,52 +127,9 @@ class Automaton:
         return out
 
 
-def score(docs: DataFrame, order: int = 3, mu: float = 100.0, block_bytes: int = 8 << 20) -> DataFrame:
+def score(docs: DataFrame, order: int = 3, mu: float = 100.0, block_bytes: int = 8 << 20, fan: int = 4096) -> DataFrame:
     held = F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False))
     rows = id_and_text(docs).select("doc_id", "text", (~held).alias("train"))
-    total_bytes = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    parts = 2 * max(1, -(-int(total_bytes) // block_bytes))
-
-    def send(batches):
-        """A block's distinct n-grams with their training counts, cut into the ranges of the parts."""
-        for block, table in blocks_of(batches, block_bytes):
-            key, train, _ = hashed(table, order)
-            for k, own in enumerate(key):
-                own = np.sort((own << U64(1) | train.astype(U64))[own > 0])
-                if not len(own):
-                    continue
-                at = np.flatnonzero(np.append(True, own[1:] >> U64(1) != own[:-1] >> U64(1)))
-                count, own = np.add.reduceat((own & U64(1)).astype(np.int64), at), own[at] >> U64(1)
-                cuts = np.searchsorted(own, [(p << 63) // parts for p in range(1, parts)])
-                for part, (x, c) in enumerate(zip(np.split(own, cuts), np.split(count, cuts))):
-                    if len(x):
-                        yield pa.RecordBatch.from_pydict({"part": [part], "block": [block], "k": [k], "own": [packed(np.diff(x, prepend=U64(0)))], "counts": [packed(c)]})
-
-    def answer(table: pa.Table) -> pa.Table:
-        """For each block, what others add to its counts."""
-        block, k = table.column("block").to_pylist(), table.column("k").to_pylist()
-        own = [np.cumsum(unpacked(x), dtype=U64) for x in table.column("own").to_pylist()]
-        counts = [unpacked(x).astype(np.int64) for x in table.column("counts").to_pylist()]
-        out = {"part": [], "block": [], "k": [], "n": [], "own": [], "added": []}
-        for kind in sorted(set(k)):
-            rows_ = [i for i, x in enumerate(k) if x == kind]
-            key, count = (np.concatenate([v[i] for i in rows_]) for v in (own, counts))
-            different, back = np.unique(key, return_inverse=True)
-            total = np.bincount(back, count, len(different)).astype(np.int64)
-            added, end = total[back] - count, 0
-            if kind == 0:
-                word = different != START_KEY[0]
-                out = {c: v + [x] for (c, v), x in zip(out.items(), (-1, SUMMARY, 0, int(total[word].sum()), int((total[word] > 0).sum()), b""))}
-            for i in rows_:
-                begin, end = end, end + len(own[i])
-                mark = int(np.bitwise_xor.reduce(own[i]).view(np.int64))
-                row = (table.column("part")[0].as_py(), block[i], kind, len(own[i]), mark, packed(added[begin:end]))
-                out = {c: v + [x] for (c, v), x in zip(out.items(), row)}
-        return pa.table(out)
-
-    sent = rows.mapInArrow(send, "part long, block long, k long, own binary, counts binary")
-    model = materialize(sent.groupBy("part").applyInArrow(answer, "part long, block long, k long, n long, own long, added binary"), "model")
-    total, distinct = model.filter(F.col("block") == SUMMARY).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("own"), F.lit(0))).first()
 
     def gather(batches):
         """The rows of a block as one compressed table, so that texts move once and small."""
@@ -192,11 +137,29 @@ def score(docs: DataFrame, order: int = 3, mu: float = 100.0, block_bytes: int =
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
                 writer.write_table(table)
-            yield pa.RecordBatch.from_pydict({"block": [block], "rows": [sink.getvalue().to_pybytes()]})
+            size = pc.sum(pc.binary_length(table.column("text"))).as_py() or 0
+            yield pa.RecordBatch.from_pydict({"block": [block], "bytes": [size], "rows": [sink.getvalue().to_pybytes()]})
+
+    blocks = materialize(rows.mapInArrow(gather, "block long, bytes long, rows binary"), "blocks")
+    parts = 2 * max(1, -(-int(blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]) // block_bytes))
+    cut = ranges(parts, fan)
+
+    def send(batches):
+        """A block's distinct n-grams with their training counts, cut into the ranges."""
+        for batch in batches:
+            for block, data in zip(batch.column("block").to_pylist(), batch.column("rows")):
+                key, train, _ = hashed(pa.ipc.open_stream(data.as_buffer()).read_all(), order)
+                for k, own in enumerate(key):
+                    own = np.sort((own << U64(1) | train.astype(U64))[own > 0])
+                    if not len(own):
+                        continue
+                    at = np.flatnonzero(np.append(True, own[1:] >> U64(1) != own[:-1] >> U64(1)))
+                    yield from messages(block, k, own[at] >> U64(1), np.add.reduceat((own & U64(1)).astype(np.int64), at), 0, cut, cut).to_batches()
+
+    answers, total, distinct = elsewhere(blocks.select("block", "rows").mapInArrow(send, MESSAGE), parts, fan, int(START_KEY[0]))
 
     def traverse(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        (data,) = texts.column("rows").to_pylist()
-        table = pa.ipc.open_stream(data).read_all()
+        table = pa.ipc.open_stream(texts.column("rows")[0].as_buffer()).read_all()
         key, train, borders = hashed(table, order)
         answers = answers.sort_by([("k", "ascending"), ("part", "ascending")])
 
@@ -204,9 +167,8 @@ def score(docs: DataFrame, order: int = 3, mu: float = 100.0, block_bytes: int =
             mine = answers.filter(pc.equal(answers.column("k"), k))
             added = [unpacked(x).astype(np.int64) for x in mine.column("added").to_pylist()]
             ends = np.cumsum([0, *map(len, added)])
-            marks = [int(np.bitwise_xor.reduce(different[a:b]).view(np.int64)) for a, b in zip(ends[:-1], ends[1:])]
-            if ends[-1] != len(different) or marks != mine.column("own").to_pylist():
-                raise RuntimeError("a block's rows differ between its two readings")
+            if ends[-1] != len(different) or [mark(different[a:b]) for a, b in zip(ends[:-1], ends[1:])] != mine.column("own").to_pylist():
+                raise RuntimeError("answers do not fit the block's keys")
             own = np.bincount(back, train, none + len(different)).astype(np.int64)[none:]
             return own + np.concatenate(added) if added else own
 
@@ -221,6 +183,5 @@ def score(docs: DataFrame, order: int = 3, mu: float = 100.0, block_bytes: int =
             "train_tokens": np.full(len(at), total, np.int64), "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(full, at),
         })
 
-    texts = rows.mapInArrow(gather, "block long, rows binary")
-    answers = model.filter(F.col("block") != SUMMARY).select("block", "part", "k", "own", "added")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(traverse, ROW)
+    answers = answers.select("block", "part", "k", "own", "added")
+    return blocks.select("block", "rows").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(traverse, ROW)
