@@ -127,7 +127,7 @@ class Automaton:
         return out
 
 
-def score(docs: DataFrame, order: int = 3, mu: float = 100.0, block_bytes: int = 8 << 20, fan: int = 4096) -> DataFrame:
+def score(docs: DataFrame, order: int = 3, mu: float = 100.0, block_bytes: int = 8 << 20, fan: int = 8192) -> DataFrame:
     held = F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False))
     rows = id_and_text(docs).select("doc_id", "text", (~held).alias("train"))
 
