@@ -6,7 +6,7 @@ out evenly over the languages, LEAST a language at least (different rows of leas
 A text that is null, empty or without a letter is `und` with score 0; `rejected` marks these and texts whose best cosine is below the floor of their
 language and length class, learned from all training texts' cosines (`least` is the lowest floor). Very long texts are one slice of their own,
 scored whole; of equal cosines the language first in order wins; other columns are ignored; repeated rows give repeated results; an empty table
-gives no rows; with no training text every row is `und`.
+gives no rows; with no training text every row is `und`; a row without an id is predicted, not learned from, and not `held_out`.
 """
 
 from __future__ import annotations

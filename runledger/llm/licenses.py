@@ -7,7 +7,7 @@ cue. Texts without any cue have no match: this filter loses nothing. Around each
 Blocks that lack more of a wording's words than may be edited are left out; the others are compressed alone and with each wording as raw dictionary.
 Wordings are tried by falling size reduction, then fewer edits; the first wins whose fewest word edits against a stretch of the block are few enough.
 Of findings that overlap, the larger reduction stays, then the earlier, then the license of lesser name.
-Null or empty texts and empty tables give no rows; very long texts are searched whole, block by block; other columns are ignored; repeated rows give repeated findings.
+Null or empty texts and empty tables give no rows; very long texts are searched whole, block by block; other columns are ignored; repeated rows give repeated findings; rows without an id give theirs under a null id.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ fit packs what is left, into its free tokens first; pieces as long as a sequence
 sees one count a length (at most `capacity`) and returns a table of runs of equal sequences; pieces find their place by their rank among pieces
 of their length.
 Null text counts as empty (one closing id); very long texts are cut into pieces, none dropped; pieces of one length are exchangeable, so ties between
-them may fall either way; an empty table gives no rows; other columns are ignored; repeated rows are packed each.
+them may fall either way; an empty table gives no rows; other columns are ignored; repeated rows and rows without an id are packed each.
 """
 
 from __future__ import annotations
