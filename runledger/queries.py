@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from runledger.operators.ranks import competition_rank
-from runledger.plans import checks, ladder, matching, names, publish, published, readers, records, report, rounds, scoring, sequences, texts, wording
+from runledger.plans import checks, ladder, matching, names, progress, publish, published, readers, records, report, rounds, scoring, sequences, sheets, texts, wording
 from runledger.sources.tables import runs, table
 
 
@@ -106,6 +106,6 @@ SQL = {
     "heading_fill_forward": "SELECT conv_id, turn, role, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text RANGE UNBOUNDED PRECEDING) AS heading FROM conversations",
     "dd_consistency": "SELECT p_brand, p_type, count(DISTINCT p_size) AS n_sizes, min(p_size) AS least, max(p_size) AS most FROM part GROUP BY 1, 2 HAVING count(DISTINCT p_size) > 1",
 }
-for module in (scoring, checks, ladder, texts, matching, rounds, publish, published, wording, names, sequences, records, readers, report):
+for module in (scoring, checks, ladder, texts, matching, rounds, publish, published, wording, names, sequences, records, readers, report, sheets, progress):
     QUERIES |= {f.__name__: f for f in module.LIST}
     SQL |= module.SQL
