@@ -4,9 +4,10 @@ Words are compared in lower case, with one spelling of `license` and of version
 words edited (one at least, none below four words). An edit removes one word at most, so of any more distinct words of the wording one stays: these,
 the longest, are its cues. A wording may also name words (in braces below: names and versions) that must stay; then its longest such word is the
 cue. Texts without any cue have no match: this filter loses nothing. Around each cue lies a candidate block, wide enough for every match through it.
-Blocks that lack more of a wording's words than may be edited are left out; the others are compressed alone and with each wording as raw dictionary.
-Wordings are tried by falling size reduction, then fewer edits; the first wins whose fewest word edits against a stretch of the block are few enough.
-Of findings that overlap, the larger reduction stays, then the earlier, then the license of lesser name.
+A block is compressed alone and with every wording as raw dictionary, whether the wording holds this cue or not; wordings are ranked by size reduction, then fewer edits, and confirmed
+by their fewest word edits against a stretch of the block that holds the cue (a wording that lacks more words of the block than may be edited needs no alignment: that is a lower bound).
+Of confirmed findings that overlap, the larger reduction stays, then the earlier, then the license of lesser name. Besides grants, notices and tags the wordings are the paragraphs of
+the short public licenses (MIT, ISC, BSD, Zlib, Boost, Unlicense, 0BSD) and of the notices of the long ones.
 Null or empty texts and empty tables give no rows; very long texts are searched whole, block by block; other columns are ignored; repeated rows give repeated findings; rows without an id give theirs under a null id.
 """
 
@@ -55,6 +56,25 @@ WORDINGS = [
     ("Unlicense", "This is free and {unencumbered} software released into the public domain"),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("all-rights-reserved", "All {rights} {reserved}"),
+    ("MIT", "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software"),
+    ("ISC", "The software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness. In no event shall the author be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software"),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. The software is provided as is"),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"),
+    ("BSD", "This software is provided by the copyright holders and contributors as is and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("BSD", "In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an as is basis, without warranties or conditions of any kind, either express or implied. See the License for the specific language governing permissions and limitations under the License"),
+    ("GPL", "This program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. See the {GNU} {General} {Public} License for more details"),
+    ("LGPL", "This library is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. See the {GNU} {Lesser} {General} {Public} License for more details"),
+    ("AGPL", "This program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. See the {GNU} {Affero} {General} {Public} License for more details"),
+    ("GPL", "You should have received a copy of the {GNU} {General} {Public} License along with this program"),
+    ("MPL-2.0", "If a copy of the {MPL} was not distributed with this file, You can obtain one at https://{mozilla.org}/MPL/2.0/"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("Zlib", "The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required"),
+    ("Zlib", "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software"),
+    ("Zlib", "This notice may not be removed or altered from any source distribution"),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means"),
+    ("Unlicense", "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so"),
 ]
 CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
 VERSIONS = ("4.0", "3.0")
@@ -106,31 +126,39 @@ class Scanner:
 
     def __init__(self, wordings=tuple(WORDINGS), level: int = 3):
         self.plain = zstandard.ZstdCompressor(level=level)
-        self.by_cue: dict[str, list] = {}
-        for name, text in wordings:
+        self.wordings: list[tuple] = []
+        self.by_cue: dict[str, dict[int, tuple[int, int]]] = {}
+        for i, (name, text) in enumerate(wordings):
             words = [spelled(w) for w in WORD.findall(text)]
             marked = {spelled(w) for part in re.findall(r"\{(.*?)\}", text) for w in WORD.findall(part)}
             most = 0 if len(words) < 4 else max(1, len(words) // 7)
             raw = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            given = zstandard.ZstdCompressor(level=level, dict_data=raw)
+            raw.precompute_compress(level=level)
+            self.wordings.append((name, words, marked, most, zstandard.ZstdCompressor(level=level, dict_data=raw)))
             for cue in sorted(marked or set(words), key=lambda w: (-len(w), w))[: 1 if marked else most + 1]:
-                before, after = len(words) - 1 - words[::-1].index(cue) + most, len(words) - words.index(cue) + most
-                self.by_cue.setdefault(cue, []).append((name, words, marked, most, given, before, after))
+                self.by_cue.setdefault(cue, {})[i] = len(words) - 1 - words[::-1].index(cue) + most, len(words) - words.index(cue) + most
+        self.reach = max((len(words) + most for _, words, _, most, _ in self.wordings), default=0)
         self.judge = lru_cache(4096)(self._judge)
 
-    def _judge(self, cue: str, p: int, block: str):
-        """The winner around the cue, word p of the block: (name, start, end, differences, bytes saved)."""
-        words, ranked = block.split(" "), []
-        for name, pattern, marked, most, given, before, after in self.by_cue[cue]:
-            first = max(0, p - before)
-            own = words[first : p + after]
+    def _judge(self, cue: str, p: int, block: str) -> list[tuple]:
+        """The confirmed wordings around the cue, word p of the block, by rank: (bytes saved, differences, start, end, name)."""
+        words, alone, ranked = block.split(" "), {}, []
+        for i, (_, pattern, _, most, given) in enumerate(self.wordings):
+            before, after = self.by_cue[cue].get(i, (len(pattern) + most,) * 2)
+            first, end = max(0, p - before), min(len(words), p + after)
+            data = " ".join(words[first:end]).encode()
+            if (first, end) not in alone:
+                alone[first, end] = len(self.plain.compress(data))
+            ranked.append((len(given.compress(data)) - alone[first, end], i, first, end))
+        confirmed = []
+        for saved, i, first, end in sorted(ranked):
+            name, pattern, marked, most, _ = self.wordings[i]
+            own = words[first:end]
             if marked <= set(own) and len(set(pattern).difference(own)) <= most:
-                data = " ".join(own).encode()
-                ranked.append((len(given.compress(data)) - len(self.plain.compress(data)), *best_stretch(pattern, own), name, marked, most, first, own))
-        for saved, least, start, end, name, marked, most, first, own in sorted(ranked, key=lambda r: r[:5]):
-            if least <= most and start <= p - first < end and marked <= set(own[start:end]):
-                return name, first + start - p, first + end - p, least, saved
-        return None
+                least, a, b = best_stretch(pattern, own)
+                if least <= most and a <= p - first < b and marked <= set(own[a:b]):
+                    confirmed.append((saved, least, first + a - p, first + b - p, name))
+        return sorted(confirmed)
 
     def scan(self, text: str) -> list[tuple]:
         spans = [m.span() for m in WORD.finditer(text)]
@@ -138,10 +166,8 @@ class Scanner:
         found = set()
         for p, cue in enumerate(words):
             if cue in self.by_cue:
-                first = max(0, p - max(t[5] for t in self.by_cue[cue]))
-                block = " ".join(words[first : p + max(t[6] for t in self.by_cue[cue])])
-                if got := self.judge(cue, p - first, block):
-                    name, start, end, least, saved = got
+                first = max(0, p - self.reach)
+                for saved, least, start, end, name in self.judge(cue, p - first, " ".join(words[first : p + self.reach])):
                     found.add((saved, p + start, name, p + end, least))
         kept, taken = [], set()
         for saved, start, name, end, least in sorted(found):

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import SparkSession
 
-from runledger.llm.licenses import WORD, Scanner, WORDINGS, best_stretch, find_licenses
+from runledger.llm.licenses import WORD, Scanner, WORDINGS, best_stretch, distances, find_licenses, spelled
 
 COLUMNS = "doc_id long, text string, license string, start int, wording string"
 
@@ -100,3 +100,36 @@ def test_filter_keeps_every_text_with_a_cue(spark):
     data = [(i, plain(t).upper().replace("LICENS", "LICENC"), "x", 1, "y") for i, (_, t) in enumerate(WORDINGS)]
     got = find_licenses(spark.createDataFrame(data, COLUMNS)).collect()
     assert {r["doc_id"] for r in got} == set(range(len(WORDINGS)))
+
+
+def test_scan_equals_every_wording_aligned_with_every_text():
+    """Whole texts, every wording, no cue and no compression: each wording within its edits overlaps a finding, and each finding is such a wording."""
+    pick = random.Random(12)
+    prose = ["".join(pick.choices("abdehnrst", k=5)) for _ in range(60)] + ["license", "software", "rights", "warranty", "the", "use", "copy"]
+    scanner, n_found, n_matches = Scanner(), 0, 0
+    for k in range(40):
+        words = pick.choices(prose, k=80)
+        for _ in range(k % 3):
+            own = [w for w in WORD.findall(plain(pick.choice(WORDINGS)[1]))]
+            for _ in range(pick.randint(0, 1 + len(own) // 6)):
+                own[pick.randrange(len(own))] = pick.choice(prose)
+            at = pick.randrange(len(words))
+            words[at:at] = own
+        text = " ".join(words)
+        low = [spelled(w) for w in words]
+        got = scanner.scan(text)
+        matches = []
+        for name, wording in WORDINGS:
+            pattern = [spelled(w) for w in WORD.findall(wording)]
+            marked = {spelled(w) for part in re.findall(r"\{(.*?)\}", wording) for w in WORD.findall(part)}
+            most = 0 if len(pattern) < 4 else max(1, len(pattern) // 7)
+            least, start, end = best_stretch(pattern, low)
+            if least <= most and marked <= set(low[start:end]):
+                matches.append((name, start, end))
+        for name, start, n, least, *_ in got:
+            of = [[spelled(w) for w in WORD.findall(t)] for m, t in WORDINGS if m == name]
+            assert any(min(distances(p, low[start : start + n], True)) <= max(1, len(p) // 7) for p in of)
+        for name, start, end in matches:
+            assert any(s < end and start < s + n for _, s, n, *_ in got), (name, text)
+        n_found, n_matches = n_found + len(got), n_matches + len(matches)
+    assert n_found >= 20 and n_matches >= 20
