@@ -2,8 +2,8 @@
 
 Words are compared in lower case, with one spelling of `license` and of version numbers (v2, 2.0). A match has at most a seventh of its wording's
 words edited (one at least, none below four words). An edit removes one word at most, so of any more distinct words of the wording one stays: these,
-the longest, are its cues. A wording may also name words (in braces below: names and versions) that must stay; then its longest such word is the
-cue. Texts without any cue have no match: this filter loses nothing. Around each cue lies a candidate block, wide enough for every match through it.
+of eight letters or more that most wordings share, else the longest, are its cues. A wording may also name words (in braces below: names and versions)
+that must stay; then one such word is the cue. Texts without any cue have no match: this filter loses nothing. Around each cue lies a candidate block, wide enough for every match through it.
 A block is compressed alone and with every wording as raw dictionary, whether the wording holds this cue or not; wordings are ranked by size reduction, then fewer edits, and confirmed
 by their fewest word edits against a stretch of the block that holds the cue (a wording that lacks more words of the block than may be edited needs no alignment: that is a lower bound).
 Of confirmed findings that overlap, the larger reduction stays, then the earlier, then the license of lesser name. Besides grants, notices and tags the wordings are the paragraphs of
@@ -14,6 +14,7 @@ Null or empty texts and empty tables give no rows; very long texts are searched
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache, reduce
 from operator import or_
 
@@ -128,14 +129,15 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=level)
         self.wordings: list[tuple] = []
         self.by_cue: dict[str, dict[int, tuple[int, int]]] = {}
-        for i, (name, text) in enumerate(wordings):
-            words = [spelled(w) for w in WORD.findall(text)]
-            marked = {spelled(w) for part in re.findall(r"\{(.*?)\}", text) for w in WORD.findall(part)}
+        parts = [(name, [spelled(w) for w in WORD.findall(text)], {spelled(w) for part in re.findall(r"\{(.*?)\}", text) for w in WORD.findall(part)}) for name, text in wordings]
+        holders = Counter(w for _, words, marked in parts for w in marked or set(words))
+        rank = lambda w: (len(w) < 8, -holders[w] if len(w) >= 8 else 0, -len(w), w)
+        for i, (name, words, marked) in enumerate(parts):
             most = 0 if len(words) < 4 else max(1, len(words) // 7)
             raw = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             raw.precompute_compress(level=level)
             self.wordings.append((name, words, marked, most, zstandard.ZstdCompressor(level=level, dict_data=raw)))
-            for cue in sorted(marked or set(words), key=lambda w: (-len(w), w))[: 1 if marked else most + 1]:
+            for cue in sorted(marked or set(words), key=rank)[: 1 if marked else most + 1]:
                 self.by_cue.setdefault(cue, {})[i] = len(words) - 1 - words[::-1].index(cue) + most, len(words) - words.index(cue) + most
         self.reach = max((len(words) + most for _, words, _, most, _ in self.wordings), default=0)
         self.judge = lru_cache(4096)(self._judge)
@@ -178,9 +180,10 @@ class Scanner:
 
 
 def has_cue(text: str, wordings=tuple(WORDINGS)):
-    """Whether the column holds a cue in either spelling, whatever its case; the text is lowered once."""
+    """Whether the column holds a cue in either spelling, whatever its case; the text is lowered once. A cue that holds another one needs no search of its own."""
     cues = Scanner(wordings).by_cue
     spellings = sorted({c for cue in cues for c in (cue, cue.replace("licens", "licenc"))})
+    spellings = [c for c in spellings if not any(d != c and d in c for d in spellings)]
     return F.transform(F.array(F.lower(text)), lambda low: reduce(or_, (F.contains(low, F.lit(c)) for c in spellings)))[0]
 
 
