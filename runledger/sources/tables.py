@@ -12,6 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of the largest table that one task sorts or groups. Spark joins small shuffle partitions until there is one a core, so without a number of its own a task grows with the tables.
+ROWS_A_TASK = 250_000
+
+
+def parts(rows: DataFrame) -> int:
+    """How many parts hold ROWS_A_TASK of the table's rows each, one a core at least. The count comes from the files' footers."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_A_TASK))
+
+
 def season(date):
     """Season text of a date; seasons start in July."""
     start = F.year(date) - (F.month(date) < 7).cast("int")
