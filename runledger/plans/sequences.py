@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from runledger.operators.ranks import competition_rank
 from runledger.operators.sequences import anchored_clusters, best_of, greedy_pairs, overlaps
-from runledger.sources.tables import runs, table
+from runledger.sources.tables import parts, runs, table
 
 # Rounds from the last to the first, and the rounds that a section's heading stands for.
 LADDER = ["F3", "F2", "F1", "Q"]
@@ -51,16 +51,19 @@ def carried_tail(spark, sf_dir):
 
 def page_carry(spark, sf_dir):
     """A customer's orders as pages of one report: a line numbered 1 starts an athlete, returned lines start another of its runs. Runs go on at the top of the next
-    page (no further; there from its first run's start alone) and have four lines at most. Runs of several pages, their values and how many were carried."""
-    pages = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("l_orderkey"), F.dense_rank().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")).alias("page"))
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("q"), (F.col("l_linenumber") == 1).alias("start"), (F.col("l_returnflag") == "R").alias("run"))
+    page (no further; there from its first run's start alone) and have four lines at most. Runs of several pages, their values and how many were carried. Lines are dealt by
+    customer into as many parts as they need; windows stand in the order of their sorts, so three sorts serve five of them."""
+    every = table(spark, sf_dir, "lineitem")
+    n = parts(every)
+    pages = table(spark, sf_dir, "orders").repartition(n, "o_custkey").select("o_custkey", F.col("o_orderkey").alias("l_orderkey"), F.dense_rank().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")).alias("page"))
+    lines = every.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("q"), (F.col("l_linenumber") == 1).alias("start"), (F.col("l_returnflag") == "R").alias("run"))
     doc = Window.partitionBy("o_custkey").orderBy("page", "l_linenumber", "l_partkey", "l_suppkey", "q")
     so_far = doc.rowsBetween(Window.unboundedPreceding, 0)
-    rows = lines.join(pages, "l_orderkey").withColumn("athlete", F.count_if("start").over(so_far)).filter("athlete > 0")
+    rows = lines.repartition(n, "l_orderkey").join(pages.repartition(n, "l_orderkey"), "l_orderkey").drop("l_orderkey").repartition(n, "o_custkey")
+    rows = rows.withColumn("athlete", F.count_if("start").over(so_far)).filter("athlete > 0")
     athlete = Window.partitionBy("o_custkey", "athlete")
-    rows = rows.withColumn("first_page", F.min("page").over(athlete))
     begun = F.count_if("run").over(Window.partitionBy("o_custkey", "athlete", "page").orderBy("l_linenumber", "l_partkey", "l_suppkey", "q").rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("begun", begun).filter("page = first_page OR page = first_page + 1 AND begun > 0")
+    rows = rows.withColumn("begun", begun).withColumn("first_page", F.min("page").over(athlete)).filter("page = first_page OR page = first_page + 1 AND begun > 0")
     own = athlete.orderBy("page", "l_linenumber", "l_partkey", "l_suppkey", "q")
     rows = rows.withColumn("k", F.count_if(F.col("run") & ~F.col("start")).over(own.rowsBetween(Window.unboundedPreceding, 0)))
     place = F.row_number().over(Window.partitionBy("o_custkey", "athlete", "k").orderBy("page", "l_linenumber", "l_partkey", "l_suppkey", "q"))
