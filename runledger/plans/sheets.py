@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from runledger.plans.sequences import _micros
-from runledger.sources.tables import table
+from runledger.sources.tables import parts, table
 
 BEFORE = (Window.unboundedPreceding, -1)
 SO_FAR = (Window.unboundedPreceding, 0)
@@ -12,10 +12,12 @@ SO_FAR = (Window.unboundedPreceding, 0)
 
 def page_blocks(spark, sf_dir):
     """Blocks of a customer's report (orders are pages, in order of days; a page's table is told by its status): a line of return flag `A` starts a block, which runs on over the next pages of
-    the same table until the next such line. By block its pages, lines and quantity; lines before a table's first anchor have block 0."""
+    the same table until the next such line. By block its pages, lines and quantity; lines before a table's first anchor have block 0. Lines are dealt by table into as many parts as they need."""
     pages = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"))
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("qty"), (F.col("l_returnflag") == "A").cast("long").alias("anchor"))
-    rows = lines.join(pages, F.col("l_orderkey") == F.col("o_orderkey"))
+    every = table(spark, sf_dir, "lineitem")
+    n = parts(every)
+    lines = every.select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("qty"), (F.col("l_returnflag") == "A").cast("long").alias("anchor"))
+    rows = lines.repartition(n, "l_orderkey").join(pages.repartition(n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey").repartition(n, "o_custkey", "o_orderstatus")
     order = Window.partitionBy("o_custkey", "o_orderstatus").orderBy("day", "o_orderkey", "l_linenumber", "l_partkey", "qty").rowsBetween(*SO_FAR)
     rows = rows.withColumn("block", F.sum("anchor").over(order))
     blocks = rows.groupBy("o_custkey", "o_orderstatus", "block").agg(F.count("*").alias("n_lines"), F.sum("qty").alias("qty"), F.min(F.struct("day", "o_orderkey")).alias("first"), F.max(F.struct("day", "o_orderkey")).alias("last"))
