@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,19 +25,28 @@ def _text(x: Column, kind: str) -> Column:
 def compare_readings(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float = 0.005) -> DataFrame:
     """keys, field, a, b: one row for each key that one reading lacks (`only a`, `only b`) or has twice (`repeated`), and for each field that differs. Numbers
     agree within the tolerance, arrays element by element; two nulls agree, one null does not. The fields are a's columns. Each side is grouped by key, so the join adds no exchange."""
-    kinds = {c: t for c, t in a.dtypes if c not in keys}
+    fields = [c for c in a.columns if c not in keys]
 
     def side(df, x):
-        return df.groupBy(*keys).agg(F.count("*").alias(f"_n{x}"), *[F.max(c).alias(f"_{x}_{c}") for c in kinds])
-
-    both = side(a, "a").join(side(b, "b"), keys, "full")
-    of = lambda x, c: F.col(f"_{x}_{c}")
-    whole = (F.col("_na") == 1) & (F.col("_nb") == 1)
-    fields = [F.struct(F.lit(c).alias("field"), _text(of("a", c), t).alias("a"), _text(of("b", c), t).alias("b"), _same(of("a", c), of("b", c), t, tolerance).alias("same")) for c, t in kinds.items()]
-    compared = both.filter(whole).select(*keys, F.explode(F.array(*fields)).alias("_f")).filter("NOT _f.same").select(*keys, "_f.field", "_f.a", "_f.b")
-    kind = F.when(F.col("_nb").isNull(), "only a").when(F.col("_na").isNull(), "only b").otherwise("repeated")
-    odd = both.filter(~F.coalesce(whole, F.lit(False))).select(*keys, kind.alias("field"), F.col("_na").cast("string").alias("a"), F.col("_nb").cast("string").alias("b"))
-    return compared.unionByName(odd)
+        return df.groupBy(*keys).agg(F.count("*").alias(f"n_{x}"), *[F.max(c).alias(c) for c in fields]).select(*keys, f"n_{x}", F.struct(*fields).alias(x))
+
+    return compare_pairs(side(a, "a").join(side(b, "b"), keys, "full"), keys, tolerance)
+
+
+def compare_pairs(both: DataFrame, keys: list[str], tolerance: float = 0.005) -> DataFrame:
+    """The rows of compare_readings for readings that already stand side by side: keys, structs a and b of the same fields, and n_a and n_b, how many rows of the key each
+    reading has (null: none). A key that holds a null equals none. Texts are made for fields that differ alone."""
+    kinds = both.select("a.*").dtypes
+    same = {c: _same(F.col("a")[c], F.col("b")[c], t, tolerance) for c, t in kinds}
+    row = lambda field, a, b: F.struct(field.alias("field"), a.cast("string").alias("a"), b.cast("string").alias("b"))
+    fields = [F.when(~same[c], row(F.lit(c), _text(F.col("a")[c], t), _text(F.col("b")[c], t))) for c, t in kinds]
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    whole = keyed & F.coalesce((F.col("n_a") == 1) & (F.col("n_b") == 1), F.lit(False))
+    n_a, n_b, none = F.col("n_a"), F.col("n_b"), F.lit(None)
+    kind = F.when(n_b.isNull(), "only a").when(n_a.isNull(), "only b").otherwise("repeated")
+    apart = F.array(F.when(n_a.isNotNull(), row(F.lit("only a"), n_a, none)), F.when(n_b.isNotNull(), row(F.lit("only b"), none, n_b)))
+    found = F.when(whole, F.array(*fields)).when(keyed, F.array(row(kind, n_a, n_b))).otherwise(apart)
+    return both.filter(~whole | ~reduce(and_, same.values())).select(*keys, F.explode(found).alias("_f")).filter("_f IS NOT NULL").select(*keys, "_f.*")
 
 
 def multiset_both_ways(a: DataFrame, b: DataFrame, by: list[str], value: str) -> DataFrame:

@@ -23,7 +23,7 @@ def test_parts_follow_the_rows(spark, monkeypatch):
     assert tables.parts(spark.range(10 * cores + 1)) == cores + 1
 
 
-DEALT = ("reprinted_marks", "page_carry", "page_blocks")
+DEALT = ("reprinted_marks", "page_carry", "page_blocks", "reader_fields")
 
 
 @pytest.mark.parametrize("name", DEALT)
@@ -34,3 +34,8 @@ def test_every_exchange_has_as_many_parts_as_the_lines_need(spark, monkeypatch,
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     sizes = {int(x) for x in re.findall(r"hashpartitioning\([^)]*, (\d+)\)", plan)}
     assert sizes == {n}
+
+
+def test_reader_fields_reads_the_lines_once(spark):
+    plan = QUERIES["reader_fields"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[l_orderkey", plan)) == 1
