@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from runledger.operators.ranks import competition_rank
-from runledger.sources.tables import runs, season, table
+from runledger.sources.tables import parts, runs, season, table
 
 
 def readings(spark, sf_dir):
@@ -112,12 +112,15 @@ def meet_grouping(spark, sf_dir):
 def upstream_compare(spark, sf_dir):
     """Fields that differ between the orders and an upstream table (its own rows: every 103rd missing, ten ids of its own, other states and customers, a
     null every 107th): one row a field, a null on one side is a difference."""
-    own = table(spark, sf_dir, "orders").select("o_orderkey", F.expr("stack(2, 'status', o_orderstatus, 'customer', cast(o_custkey AS string)) AS (field, own)"))
+    every = table(spark, sf_dir, "orders")
+    n = 2 * parts(every)
+    own = every.select("o_orderkey", F.expr("stack(2, 'status', o_orderstatus, 'customer', cast(o_custkey AS string)) AS (field, own)"))
     k = F.col("o_orderkey")
-    up = table(spark, sf_dir, "orders").filter(k % 103 != 0).select(
+    up = every.filter(k % 103 != 0).select(
         F.when(k % 1499 == 1, -k).otherwise(k).alias("o_orderkey"), F.when(k % 107 == 0, None).when(k % 71 == 0, "X").otherwise(F.col("o_orderstatus")).alias("status"), (F.col("o_custkey") + F.when(k % 73 == 0, 1).otherwise(0)).cast("string").alias("customer")
     ).unpivot("o_orderkey", ["status", "customer"], "field", "copy")
-    both = own.withColumn("here", F.lit(True)).join(up.withColumn("there", F.lit(True)), ["o_orderkey", "field"], "full")
+    own, up = (rows.withColumn(side, F.lit(True)).repartition(n, "o_orderkey", "field") for rows, side in ((own, "here"), (up, "there")))
+    both = own.join(up, ["o_orderkey", "field"], "full")
     side = F.when(F.col("there").isNull(), "not upstream").when(F.col("here").isNull(), "upstream alone").otherwise("differs")
     return both.filter("NOT (own <=> copy) OR here IS NULL OR there IS NULL").select("o_orderkey", "field", "own", "copy", side.alias("side"))
 

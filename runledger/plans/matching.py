@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from runledger.functions.exact import close, hundredths
 from runledger.functions.names import fold, name_key, number_key
 from runledger.operators.sequences import best_of
-from runledger.sources.tables import table
+from runledger.sources.tables import parts, table
 
 FIELD = 64
 
@@ -193,7 +193,8 @@ def table_match(spark, sf_dir):
 
 def reader_sequence_compare(spark, sf_dir):
     """Sequences of an order's quantities by two readers: the second reads every fifth order backwards, adds one in every 97th, lacks every 101st."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q"), F.expr("if(l_orderkey % 5 = 0, -1, 1)").alias("way"))
+    every = table(spark, sf_dir, "lineitem")
+    lines = every.select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q"), F.expr("if(l_orderkey % 5 = 0, -1, 1)").alias("way")).repartition(parts(every), "l_orderkey")
     again = F.struct(F.expr("way * l_linenumber"), F.expr("way * l_partkey"), F.expr("way * q"), F.expr("q + if(l_orderkey % 97 = 0 AND l_linenumber = 1, 1, 0)").alias("q"))
     in_order = lambda row: F.array_sort(F.collect_list(row))["q"]
     both = lines.groupBy("l_orderkey").agg(in_order(F.struct("l_linenumber", "l_partkey", "q")).alias("a"), in_order(F.when(F.col("l_orderkey") % 101 != 0, again)).alias("b"))

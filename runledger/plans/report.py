@@ -6,7 +6,7 @@ from runledger.operators.report import LAYERS, findings_by_key, gate, layer_stat
 from runledger.plans.checks import upstream_compare
 from runledger.plans.matching import reader_sequence_compare
 from runledger.plans.readers import score_findings
-from runledger.sources.tables import runs, table
+from runledger.sources.tables import parts, runs, table
 
 ROUND = ["athlete", "season", "series"]
 
@@ -16,7 +16,8 @@ def findings(spark, sf_dir):
     values that differ upstream; golden rows that are marked wrong. Notes: runs that are `away` (not upstream) or `covered` by golden rows."""
     at = lambda key, layer, level: [F.col(key).alias("run_id"), F.lit(layer).alias("layer"), level.alias("level")]
     warned = lambda test: F.when(test, "warning").otherwise("error")
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.countDistinct("l_linenumber").alias("d"), F.max("l_linenumber").alias("last"))
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines.select("l_orderkey", "l_linenumber").repartition(parts(lines), "l_orderkey").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.countDistinct("l_linenumber").alias("d"), F.max("l_linenumber").alias("last"))
     zero = lines.filter("n <> d OR d <> last").select(*at("l_orderkey", "layer0", warned(F.col("n") == F.col("d"))))
     one = reader_sequence_compare(spark, sf_dir).select(*at("l_orderkey", "layer1", warned(F.col("state") == "order")))
     two = score_findings(spark, sf_dir).select(*at("vec_id", "layer2", F.col("level")))
@@ -29,16 +30,18 @@ def findings(spark, sf_dir):
 
 def verified_rounds(spark, sf_dir):
     """Rounds with counts of errors by layer. Layers 3 and 4 are the round's own: finished runs of one day are errors, equal scores warnings; an
-    athlete without an entry is an error, one in debt a warning."""
-    found = findings_by_key(findings(spark, sf_dir), "run_id", ("away", "covered"))
-    rows = runs(spark, sf_dir).join(found, "run_id", "left")
+    athlete without an entry is an error, one in debt a warning. Findings and runs are dealt by run, then by athlete, into as many parts as the lines need."""
+    n = parts(table(spark, sf_dir, "lineitem"))
+    found = findings_by_key(findings(spark, sf_dir).repartition(n, "run_id"), "run_id", ("away", "covered"))
+    rows = runs(spark, sf_dir).repartition(n, "run_id").join(found, "run_id", "left").repartition(n, "athlete")
     done = lambda c: F.when(F.col("status") == "OK", F.col(c))
+    different = lambda c: F.size(F.collect_set(c)).cast("long")  # noqa: E731  (two distinct counts would deal the rows again)
     counts = [F.sum(F.coalesce(x, F.lit(0))).alias(x) for x in LAYERS if x not in ("layer3", "layer4")]
     rounds = rows.groupBy(*ROUND).agg(
-        *counts, F.sum(F.coalesce("n_warnings", F.lit(0))).alias("n_warnings"), F.count("*").alias("n_runs"), F.count(done("date")).alias("n_done"), F.countDistinct(done("date")).alias("n_days"),
-        F.countDistinct(done("score_k")).alias("n_scores"), F.max("score_k").alias("best"), F.count_if("covered").alias("n_golden"), F.count_if("away").alias("n_away"),
+        *counts, F.sum(F.coalesce("n_warnings", F.lit(0))).alias("n_warnings"), F.count("*").alias("n_runs"), F.count(done("date")).alias("n_done"), different(done("date")).alias("n_days"),
+        different(done("score_k")).alias("n_scores"), F.max("score_k").alias("best"), F.count_if("covered").alias("n_golden"), F.count_if("away").alias("n_away"),
     )
-    entries = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("athlete"), (F.col("c_acctbal") < 0).alias("debt"), F.lit(True).alias("entered"))
+    entries = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("athlete"), (F.col("c_acctbal") < 0).alias("debt"), F.lit(True).alias("entered")).repartition(n, "athlete")
     rounds = rounds.join(entries, "athlete", "left").withColumns({
         "layer3": F.col("n_done") - F.col("n_days"), "layer4": F.col("entered").isNull().cast("long"),
         "n_warnings": F.col("n_warnings") + F.col("n_done") - F.col("n_scores") + F.coalesce(F.col("debt").cast("long"), F.lit(0)),

@@ -39,3 +39,13 @@ def test_every_exchange_has_as_many_parts_as_the_lines_need(spark, monkeypatch,
 def test_reader_fields_reads_the_lines_once(spark):
     plan = QUERIES["reader_fields"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"Relation \[l_orderkey", plan)) == 1
+
+
+@pytest.mark.parametrize("name", ("verification_matrix",))
+def test_runs_findings_and_rounds_are_dealt_by_the_lines(spark, monkeypatch, name):
+    """Labels alone are dealt by the session; the upstream comparison has two rows an order."""
+    monkeypatch.setattr(tables, "ROWS_A_TASK", 2000)
+    n, orders = (tables.parts(tables.table(spark, SF, t)) for t in ("lineitem", "orders"))
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    sizes = {(key, int(x)) for key, x in re.findall(r"hashpartitioning\((\w+)#[^)]*, (\d+)\)", plan)}
+    assert {s for s in sizes if s[0] not in ("vec_id", "tier")} == {("athlete", n), ("run_id", n), ("l_orderkey", n), ("o_orderkey", 2 * orders)}
