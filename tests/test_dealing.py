@@ -41,7 +41,7 @@ def test_reader_fields_reads_the_lines_once(spark):
     assert len(re.findall(r"Relation \[l_orderkey", plan)) == 1
 
 
-@pytest.mark.parametrize("name", ("verification_matrix",))
+@pytest.mark.parametrize("name", ("verification_matrix", "verification_report"))
 def test_runs_findings_and_rounds_are_dealt_by_the_lines(spark, monkeypatch, name):
     """Labels alone are dealt by the session; the upstream comparison has two rows an order."""
     monkeypatch.setattr(tables, "ROWS_A_TASK", 2000)
