@@ -35,12 +35,14 @@ def carried_tail(spark, sf_dir):
     """A report lists an order's own lines and, behind them, those of the customer's order before it (returned ones with another quantity). By order: how
     many rows the tail has, how many do not equal a row of the order before, how many suppliers are in both, and whether the tail may be removed (a place printed twice in the head forbids it)."""
     own = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.lag("o_orderkey").over(own).alias("before")).filter("before IS NOT NULL")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_suppkey").alias("bib"), F.col("l_linenumber").alias("place"), F.col("l_quantity").cast("long").alias("score"), "l_returnflag")
+    every = table(spark, sf_dir, "lineitem")
+    n = parts(every)
+    orders = table(spark, sf_dir, "orders").repartition(n, "o_custkey").select("o_orderkey", F.lag("o_orderkey").over(own).alias("before")).filter("before IS NOT NULL")
+    lines = every.select("l_orderkey", F.col("l_suppkey").alias("bib"), F.col("l_linenumber").alias("place"), F.col("l_quantity").cast("long").alias("score"), "l_returnflag").repartition(n, "l_orderkey")
     head = lines.groupBy("l_orderkey").agg(F.count("*").alias("n_head"), F.collect_list("place").alias("places"), F.collect_set("bib").alias("bibs"))
     printed = F.struct("bib", "place", (F.col("score") + (F.col("l_returnflag") == "R").cast("long")).alias("score"))
     tails = lines.groupBy("l_orderkey").agg(F.collect_list(printed).alias("tail"), F.collect_set(F.struct("bib", "place", "score")).alias("rows"))
-    both = orders.join(head, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey").join(tails, F.col("before") == F.col("l_orderkey"))
+    both = orders.repartition(n, "o_orderkey").join(head, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey").repartition(n, "before").join(tails, F.col("before") == F.col("l_orderkey"))
     n_bad = F.size(F.filter("tail", lambda t: ~F.array_contains(F.col("rows"), t)))
     n_both = F.size(F.array_intersect("bibs", F.array_distinct(F.transform("tail", lambda t: t["bib"]))))
     in_order = F.size(F.array_distinct("places")) == F.col("n_head")

@@ -23,7 +23,7 @@ def test_parts_follow_the_rows(spark, monkeypatch):
     assert tables.parts(spark.range(10 * cores + 1)) == cores + 1
 
 
-DEALT = ("reprinted_marks", "page_carry", "page_blocks", "reader_fields")
+DEALT = ("reprinted_marks", "page_carry", "page_blocks", "reader_fields", "carried_tail")
 
 
 @pytest.mark.parametrize("name", DEALT)
